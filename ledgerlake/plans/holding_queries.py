@@ -84,11 +84,11 @@ def _card_expiry(bank):
 
 @query("card_fees_rewards", sql_over("fx_card_request", """
 SELECT request_id, txn_type, CASE WHEN txn_type = 'purchase' THEN ((CAST(amount * 100 AS BIGINT) * 15 + 500) // 1000) / 100.0 END AS interchange_fee,
-  CASE WHEN txn_type = 'purchase' THEN CAST(CAST(amount * 100 AS BIGINT) // 10000 AS INTEGER) END AS reward_points FROM fx_card_request""".strip()))
+  CASE WHEN txn_type = 'purchase' THEN CAST(CAST(amount * 100 AS BIGINT) // 10000 AS DOUBLE) END AS reward_points FROM fx_card_request""".strip()))
 def _fees(bank):
     amount, kind = F.col("amount"), F.col("txn_type")
     return bank.fx_card_request.select(
-        "request_id", "txn_type", dbl(interchange_fee(amount, kind), "interchange_fee"), reward_points(amount, kind).alias("reward_points")
+        "request_id", "txn_type", dbl(interchange_fee(amount, kind), "interchange_fee"), dbl(reward_points(amount, kind), "reward_points")
     )
 
 
