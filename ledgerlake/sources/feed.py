@@ -20,12 +20,14 @@ def read_scheme_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEED_LIST).json(path)
 
 
-def raw_rows(payloads: DataFrame, endpoint: str) -> DataFrame:
-    """Bronze rows from (scheme_code, payload text, fetched_at). The id repeats when a landing is repeated."""
+def raw_rows(payloads: DataFrame, endpoint: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Bronze rows from (scheme_code, payload text, fetched_at) and the columns to ``keep``.
+
+    The id repeats when a landing is repeated."""
     code = F.col("scheme_code").cast("string")
     return payloads.select(
         stable_id("", F.lit(endpoint), code, F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss"), F.col("payload")).alias("raw_id"),
-        F.lit(endpoint).alias("endpoint"), code.alias("scheme_code"), "payload", "fetched_at",
+        F.lit(endpoint).alias("endpoint"), code.alias("scheme_code"), "payload", "fetched_at", *keep,
     )
 
 
@@ -37,14 +39,14 @@ def latest_raw(bronze: DataFrame) -> DataFrame:
     return bronze.join(newest.select("raw_id"), "raw_id", "left_semi")
 
 
-def parse_raw(bronze: DataFrame) -> DataFrame:
+def parse_raw(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per price entry: response id, meta fields, position in the response, raw date and price text."""
     body = bronze.where("endpoint = 'mf_scheme'").select(
-        "raw_id", F.col("scheme_code").alias("asked_code"), "fetched_at", F.from_json("payload", FEED_PAYLOAD).alias("body")
+        "raw_id", F.col("scheme_code").alias("asked_code"), "fetched_at", *keep, F.from_json("payload", FEED_PAYLOAD).alias("body")
     )
     return body.select(
-        "raw_id", "asked_code", "fetched_at", "body.meta", F.posexplode("body.data").alias("pos", "entry")
-    ).select("raw_id", F.col("asked_code").alias("scheme_code"), "fetched_at", "meta", "pos", "entry.date", "entry.nav")
+        "raw_id", "asked_code", "fetched_at", *keep, "body.meta", F.posexplode("body.data").alias("pos", "entry")
+    ).select("raw_id", F.col("asked_code").alias("scheme_code"), "fetched_at", *keep, "meta", "pos", "entry.date", "entry.nav")
 
 
 # --- silver: prices -------------------------------------------------------------------------------
