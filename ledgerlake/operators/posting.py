@@ -306,8 +306,8 @@ def _with_terms(joined: DataFrame, ledger: Ledger) -> DataFrame:
     rows = ledger.terms(joined)
     reason = (
         F.when(~F.coalesce(F.col("amount") > 0, F.lit(False)), "INVALID_AMOUNT")
+        .when(F.col("_reason").isNotNull(), F.col("_reason"))
         .when(F.col("_reused") | F.col("_reused_before"), "KEY_REUSED")
-        .otherwise(F.col("_reason"))
     )
     rows = rows.withColumn("_reason", reason)
     live = F.col("_reason").isNull() & ~F.col("_posted")
