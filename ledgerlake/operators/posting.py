@@ -546,8 +546,8 @@ def post_mf_transaction(
     if hot is DETECT:
         hot = hot_keys(requests, keys, max_rows)
     if holdings is None:
-        blank = requests.sparkSession.createDataFrame([], T.StructType([requests.schema[k] for k in keys]))
-        holdings = blank.select(
+        # No rows: the optimizer drops the join with it.
+        holdings = requests.select(*keys).where(F.lit(False)).select(
             "*", F.lit(0).cast("decimal(18,5)").alias("units_held"), F.lit(0).cast(MONEY).alias("invested_amount")
         )
     state = holdings.select(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_spread
 from . import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +31,7 @@ class Bank:
 
     def _build(self, name: str) -> DataFrame:
         if name not in fixtures.VIEWS:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return read_spread(self.spark, f"{self.folder}/{name}.parquet")
         needs, text = fixtures.VIEWS[name]
         return self.spark.sql(text, **{n: getattr(self, n) for n in needs})
 
