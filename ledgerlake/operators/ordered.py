@@ -25,11 +25,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS)
     The result has at most count(df) / max_rows rows, which is what makes it safe to broadcast. Counts are
     exact and combined map-side, so a retried task sees the same list.
     """
-    heavy = (
-        df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_rows).select(*keys)
-    )
-    return None if heavy.isEmpty() else durable(heavy)
+    def above(*columns: str) -> DataFrame:
+        counts = df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.where(F.col("_n") > max_rows).select(*columns)
+
+    # The first column alone has fewer groups, and no pair is larger than its part: mostly this settles it.
+    heavy = above(keys[0])
+    if heavy.isEmpty():
+        return None
+    heavy = durable(above(*keys))
+    return None if heavy.isEmpty() else heavy
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,10 +4,11 @@ Each ledger is brought to one form. A key has ``room``: what may still be used.
 ``move`` and is refused when fewer than ``need`` are left (null: never refused). Then
 
 1. stateless checks come from joins and never touch the room;
-2. a running sum gives the room if nothing were refused. Up to the first request that falls short, that
-   is the true answer, all in window functions;
-3. only from a key's first shortfall on is a sequential walk needed. The window leaves the rows of a key
-   together and in order, so the walk streams over Arrow batches with a few scalars of state;
+2. a running sum gives the room if nothing were refused. Up to a key's first request that falls short,
+   that is the true answer, all in window functions;
+3. only from the first shortfall on is a sequential walk needed. The window leaves the rows of a key
+   together and in order, so the walk streams over Arrow batches with a few scalars of state, and rows
+   before a shortfall pass it as whole columns. Everything of a key happens in one shuffle and one sort;
 4. hot keys are cut into slots. A slot is settled by its own total and by the room it requires; only
    slots that fall short are walked, one bounded slot per key at a time.
 """
@@ -15,8 +16,9 @@ Each ledger is brought to one form. A key has ``room``: what may still be used.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from ..functions.money import (
 )
 from ..functions.text import stable_id
 from ..session import durable
-from .ordered import MAX_GROUP_ROWS, floored_sum, hot_keys, split_hot
+from .ordered import MAX_GROUP_ROWS, Running, hot_keys, running, split_hot
 
 _BEGIN = Window.unboundedPreceding
 REFUSED, ACCEPTED, REPEATED = 0, 1, 2
@@ -54,44 +56,70 @@ class Ledger:
     terms: Callable[[DataFrame], DataFrame]
     may_post: Callable[[DataFrame], DataFrame] = field(default=lambda state: state)
     refusal_is_fact: bool = False
+    # State columns that have done their work once the terms are there; they are not carried any further.
+    state_only: Sequence[str] = ()
 
 
 # --- the walk -------------------------------------------------------------------------------------
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Accept or refuse in order. A row with ``_start`` opens a new key with the room known for it."""
-    room, retryable = 0, set()
+    """Accept or refuse in order. The first short row (``_shorts`` is 1) of a key starts from the room known there."""
+    room, tally, retryable = 0, 0, set()
     for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
-                   for c in ("_start", "_room", "_move", "_need", "_first", "_repeat")]
-        codes, rooms = [], []
-        for start, known, move, need, first, repeat in zip(*columns):
-            if start:
-                room, retryable = known, set()
-            rooms.append(room)
-            if not first and repeat not in retryable:
-                codes.append(REPEATED)
-            elif need is not None and room < need:
-                codes.append(REFUSED)
-                if repeat is not None:
-                    retryable.add(repeat)
-            else:
-                codes.append(ACCEPTED)
-                room += move
-                retryable.discard(repeat)
-        names = [*batch.schema.names, "_code", "_room_walked"]
-        arrays = [*batch.columns, pa.array(codes, pa.int32()), pa.array(rooms, pa.int64())]
+        def column(name):
+            return batch.column(batch.schema.get_field_index(name))
+
+        short, shorts = (column(c).to_numpy(zero_copy_only=False) for c in ("_short", "_shorts"))
+        first, known = (column(c).to_numpy(zero_copy_only=False) for c in ("_first", "_room"))
+        with_tally = "_paid" in batch.schema.names
+        codes, rooms = np.where(first, ACCEPTED, REPEATED).astype(np.int32), known.copy()
+        tallies = column("_tally").to_numpy(zero_copy_only=False).copy() if with_tally else None
+        walk = np.flatnonzero(shorts > 0)
+        if len(walk):
+            at = pa.array(walk)
+            needs, repeats = column("_need").take(at).to_pylist(), column("_repeat").take(at).to_pylist()
+            moves = column("_move").take(at).to_pylist()
+            paid = column("_paid").take(at).to_pylist() if with_tally else moves
+            before = column("_tally_before").take(at).to_pylist() if with_tally else moves
+            starts = (short[walk] & (shorts[walk] == 1)).tolist()
+            for i, row in enumerate(walk.tolist()):
+                if starts[i]:
+                    room, tally, retryable = int(known[row]), before[i], set()
+                rooms[row] = room
+                if not first[row] and repeats[i] not in retryable:
+                    codes[row] = REPEATED
+                elif needs[i] is not None and room < needs[i]:
+                    codes[row] = REFUSED
+                    if repeats[i] is not None:
+                        retryable.add(repeats[i])
+                else:
+                    codes[row] = ACCEPTED
+                    room += moves[i]
+                    tally = max(0, tally + paid[i])
+                    retryable.discard(repeats[i])
+                if with_tally:
+                    tallies[row] = tally
+        names = [n for n in batch.schema.names if n not in _WALK_ONLY]
+        arrays = [column(n) for n in names] + [pa.array(codes), pa.array(rooms)]
+        names += ["_code", "_room"]
+        if with_tally:
+            arrays.append(pa.array(tallies))
+            names.append("_tally")
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+# Columns that nothing needs after the walk.
+_WALK_ONLY = ("_opening", "_need", "_short", "_shorts", "_room", "_paid_in", "_tally", "_tally_before")
+
+
 def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_code`` and ``_room`` (before the request) to every row; keys are small enough for one task.
 
     Needs ``_opening``, ``_move``, ``_need``, ``_first`` (not a repeat of an earlier request) and
-    ``_repeat`` (its idempotency key when it is used more than once).
+    ``_repeat`` (its idempotency key when it is used more than once). With ``_paid`` and ``_paid_in`` there
+    is a second running value, ``_tally``: the sum of ``_paid`` over accepted rows, never below zero.
     """
-    columns = moves.columns
     window = Window.partitionBy(*keys).orderBy(*order)
     earlier, so_far = window.rowsBetween(_BEGIN, -1), window.rowsBetween(_BEGIN, 0)
     used = F.sum(F.when(F.col("_first"), F.col("_move"))).over(earlier)
@@ -100,14 +128,23 @@ def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
         .withColumn("_short", F.coalesce(F.col("_first") & (F.col("_room") < F.col("_need")), F.lit(False)))
         .withColumn("_shorts", F.sum(F.col("_short").cast("int")).over(so_far))
     )
-    clear = walked.where("_shorts = 0").select(
-        *columns, F.when(F.col("_first"), ACCEPTED).otherwise(REPEATED).alias("_code"), "_room"
-    )
-    rest = walked.where("_shorts > 0").withColumn("_start", F.col("_short") & (F.col("_shorts") == 1))
-    schema = T.StructType([*rest.schema.fields, T.StructField("_code", T.IntegerType()),
-                           T.StructField("_room_walked", T.LongType())])
-    slow = rest.mapInArrow(_walk, schema).select(*columns, "_code", F.col("_room_walked").alias("_room"))
-    return clear.unionByName(slow)
+    if "_paid" in moves.columns:
+        paid = F.sum(F.when(F.col("_first"), F.col("_paid")).otherwise(F.lit(0))).over(so_far)
+        walked = walked.withColumn("_paid_sum", F.col("_paid_in") + paid)
+        lifted = walked.select(
+            "*", F.min("_paid_sum").over(so_far).alias("_low"), F.min("_paid_sum").over(earlier).alias("_low_before"),
+            F.lag("_paid_sum").over(window).alias("_sum_before"),
+        )
+        walked = lifted.select(
+            *[c for c in walked.columns if c != "_paid_sum"],
+            (F.col("_paid_sum") - F.least(F.lit(0), F.col("_low"))).alias("_tally"),
+            F.coalesce(F.col("_sum_before") - F.least(F.lit(0), F.col("_low_before")), F.col("_paid_in")).alias("_tally_before"),
+        )
+    fields = [f for f in walked.schema.fields if f.name not in _WALK_ONLY]
+    fields += [T.StructField("_code", T.IntegerType()), T.StructField("_room", T.LongType())]
+    if "_paid" in moves.columns:
+        fields.append(T.StructField("_tally", T.LongType()))
+    return walked.mapInArrow(_walk, T.StructType(fields))
 
 
 # --- hot keys, slot by slot -----------------------------------------------------------------------
@@ -122,6 +159,7 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     cut, columns = keys + ["_slot"], moves.columns
+    kept = [c for c in columns if c not in _WALK_ONLY]
     rows = durable(moves.withColumn("_slot", slot))
     within = Window.partitionBy(*cut).orderBy(*order).rowsBetween(_BEGIN, -1)
     live_move = F.when(F.col("_first"), F.col("_move")).otherwise(F.lit(0))
@@ -170,8 +208,10 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
             again = again.groupBy(*keys, "_repeat").agg(F.min(F.struct(*order)).alias("_again"))
             live = F.coalesce(F.struct(*order) == F.col("_again"), F.col("_first"))
             part = part.join(again, [*keys, "_repeat"], "left").withColumn("_first", live)
-        part = durable(settle(part.select(*columns, "_slot"), keys, order))
-        walked.append(part.select(*columns, "_code", "_room"))
+        plain = [c for c in columns if c not in ("_paid", "_paid_in")]
+        settled = durable(settle(part.select(*plain, "_slot"), keys, order))
+        part = settled.join(part.select(*keys, *order, "_paid"), [*keys, *order]) if "_paid" in columns else settled
+        walked.append(part.select(*kept, "_code", "_room"))
         after = F.col("_room") + F.when(F.col("_code") == ACCEPTED, F.col("_move")).otherwise(F.lit(0))
         front = part.groupBy(*keys).agg(
             F.max(F.struct(*order, after.alias("_after")))["_after"].alias("_in"), F.max("_slot").alias("_done")
@@ -189,7 +229,7 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
     for more in cleared[1:]:
         rooms = rooms.unionByName(more)
     result = placed.join(durable(rooms), cut).select(
-        *columns,
+        *kept,
         F.when(F.col("_first"), ACCEPTED).otherwise(REPEATED).alias("_code"),
         (F.col("_room_in") + F.col("_gain")).alias("_room"),
     )
@@ -198,6 +238,14 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
     return result
 
 
+def _tallied(settled: DataFrame, keys, order, slot: Callable[[], Column], hot: DataFrame) -> DataFrame:
+    """``_tally`` of settled hot keys, by the same closed form as floored_sum but with an opening value."""
+    taken = F.when(F.col("_code") == ACCEPTED, F.col("_paid")).otherwise(F.lit(0))
+    rows = running(settled.withColumn("_taken", taken), keys, order, {"_sum": Running("sum", "_taken")}, slot, hot)
+    rows = running(rows.withColumn("_sum", F.col("_sum") + F.col("_paid_in")), keys, order, {"_low": Running("min", "_sum")}, slot, hot)
+    return rows.withColumn("_tally", F.col("_sum") - F.least(F.lit(0), F.col("_low"))).drop("_taken", "_sum", "_low", "_paid_in")
+
+
 # --- idempotency ----------------------------------------------------------------------------------
 
 
@@ -281,9 +329,12 @@ def post(
         ordinary, heavy = split_hot(marked, keys, hot)
         # One state row per hot key: bounded as the hot keys are.
         few = state.join(F.broadcast(hot), keys, "left_semi")
-        settled = settle(_with_terms(ordinary.join(state, keys, "left"), ledger), keys, order).unionByName(
-            settle_in_slots(_with_terms(heavy.join(F.broadcast(few), keys, "left"), ledger), keys, order, ledger.slot())
-        )
+        heavy_moves = _with_terms(heavy.join(F.broadcast(few), keys, "left"), ledger)
+        slotted = settle_in_slots(heavy_moves, keys, order, ledger.slot())
+        if "_paid" in heavy_moves.columns:
+            opening = heavy_moves.groupBy(*keys).agg(F.min("_paid_in").alias("_paid_in"))
+            slotted = _tallied(slotted.join(F.broadcast(opening), keys), keys, order, ledger.slot, hot)
+        settled = settle(_with_terms(ordinary.join(state, keys, "left"), ledger), keys, order).unionByName(slotted)
     identity = [F.lit(ledger.fact), *[F.col(k) for k in keys]]
     if "idempotency_key" in requests.columns:
         own = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
@@ -309,12 +360,13 @@ def _with_terms(joined: DataFrame, ledger: Ledger) -> DataFrame:
         .when(F.col("_reason").isNotNull(), F.col("_reason"))
         .when(F.col("_reused") | F.col("_reused_before"), "KEY_REUSED")
     )
-    rows = rows.withColumn("_reason", reason)
+    rows = rows.withColumn("_reason", reason).drop(*ledger.state_only)
     live = F.col("_reason").isNull() & ~F.col("_posted")
     return (
         rows.withColumn("_opening", F.coalesce(F.col("_opening"), F.lit(0)).cast("long"))
         .withColumn("_move", F.when(live, F.col("_move")).otherwise(F.lit(0)).cast("long"))
         .withColumn("_need", F.when(live, F.col("_need")).cast("long"))
+        .withColumns({"_paid": F.when(live, F.col("_paid")).otherwise(F.lit(0))} if "_paid" in rows.columns else {})
     )
 
 
@@ -358,6 +410,7 @@ def _deposit_terms(joined: DataFrame) -> DataFrame:
 DEPOSIT = Ledger(
     "fact_deposit_txn", "DTXN_", ("account_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
     _deposit_terms, lambda state: state.where("status = 'active'"),
+    state_only=("current_balance", "min_balance", "overdraft_limit", "status"),
 )
 
 
@@ -390,7 +443,7 @@ def _card_terms(joined: DataFrame) -> DataFrame:
 
 CARD = Ledger(
     "fact_card_txn", "CTXN_", ("card_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
-    _card_terms, refusal_is_fact=True,
+    _card_terms, refusal_is_fact=True, state_only=("credit_limit", "current_statement_balance", "status"),
 )
 
 
@@ -432,6 +485,7 @@ def _payment_terms(joined: DataFrame) -> DataFrame:
 PAYMENT = Ledger(
     "fact_payment", "PAY_", ("from_account_id",), ("payment_datetime", "request_id"), _hour("payment_datetime"),
     _payment_terms, lambda state: state.where("status = 'active' and account_type in ('deposit', 'card')"),
+    state_only=("balance", "min_balance", "overdraft_limit", "deposit_type", "credit_limit", "status"),
 )
 
 
@@ -488,6 +542,7 @@ def loan_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
         "fact_loan_txn", "LTXN_", ("loan_id",), tuple(order), lambda: F.col("txn_date"), _loan_terms,
         lambda state: state.where("status not in ('closed', 'written_off')"),
+        state_only=("outstanding_principal", "status"),
     )
 
 
@@ -518,12 +573,16 @@ def _fund_terms(joined: DataFrame) -> DataFrame:
         F.coalesce(unit_ticks(F.col("held_before")), F.lit(0)).alias("_opening"),
         F.when(sell, -units).otherwise(units).alias("_move"),
         F.when(sell, units).alias("_need"),
+        # Selling takes the amount off the invested sum, but never below zero.
+        F.when(sell, -cents(F.col("amount"))).otherwise(cents(F.col("amount"))).alias("_paid"),
+        F.coalesce(cents(F.col("invested_before")), F.lit(0)).alias("_paid_in"),
     )
 
 
 def fund_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
-        "fact_mf_transaction", "MFTXN_", ("folio_id", "scheme_code"), tuple(order), lambda: F.col("txn_date"), _fund_terms
+        "fact_mf_transaction", "MFTXN_", ("folio_id", "scheme_code"), tuple(order), lambda: F.col("txn_date"), _fund_terms,
+        state_only=("held_before", "invested_before", "folio_status"),
     )
 
 
@@ -557,17 +616,9 @@ def post_mf_transaction(
     if "idempotency_key" in requests.columns:
         ledger = _with_fund_owners(ledger, priced, keys)
     posted = post(priced, state, ledger, history, hot, max_rows)
-    # Selling takes the amount off the invested sum but never below zero; a refused request adds nothing.
-    sell = F.col("txn_type").isin("redemption", "switch_out")
-    paid = F.when(sell, -cents(F.col("amount"))).otherwise(cents(F.col("amount")))
-    opening = F.coalesce(cents(F.col("invested_before")), F.lit(0))
-    posted = posted.select(
-        "*", F.when(F.col("outcome") == "accepted", paid).otherwise(F.lit(0)).alias("_paid"), opening.alias("_paid_in")
-    )
-    posted = _invested(posted, keys, list(order), ledger.slot, hot)
     done = F.col("outcome") == "accepted"
     held = from_unit_ticks(_room_after())
-    worth, invested = market_value(held, F.col("nav_value")), from_cents(F.col("_invested"))
+    worth, invested = market_value(held, F.col("nav_value")), from_cents(F.col("_tally"))
     return _finish(
         posted, requests, F.lit("UNITS_EXCEEDED"), nav_value=F.col("nav_value"), units=F.col("units"),
         units_held=F.when(done, held), invested_amount=F.when(done, invested), market_value=F.when(done, worth),
@@ -578,17 +629,7 @@ def post_mf_transaction(
 def _with_fund_owners(ledger: Ledger, priced: DataFrame, keys: list[str]) -> Ledger:
     """Only a request on an open folio with a known price can own an idempotency key."""
     owners = priced.where((F.col("folio_status") == "active") & F.col("nav_value").isNotNull()).select(*keys).distinct()
-    return Ledger(ledger.fact, ledger.prefix, ledger.keys, ledger.order, ledger.slot, ledger.terms, lambda _: owners)
-
-
-def _invested(posted: DataFrame, keys, order, slot, hot) -> DataFrame:
-    """Running invested sum from the opening one, floored at zero (see floored_sum)."""
-    from .ordered import Running, running
-
-    posted = running(posted, keys, order, {"_paid_sum": Running("sum", "_paid")}, slot, hot)
-    posted = posted.withColumn("_paid_sum", F.col("_paid_sum") + F.col("_paid_in"))
-    posted = running(posted, keys, order, {"_paid_low": Running("min", "_paid_sum")}, slot, hot)
-    return posted.withColumn("_invested", F.col("_paid_sum") - F.least(F.lit(0), F.col("_paid_low")))
+    return replace(ledger, may_post=lambda _: owners)
 
 
 # --- what posting leaves behind -------------------------------------------------------------------
