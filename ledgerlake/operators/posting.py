@@ -159,7 +159,7 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     cut, columns = keys + ["_slot"], moves.columns
-    kept = [c for c in columns if c not in _WALK_ONLY]
+    carried = [c for c in columns if c not in _WALK_ONLY]
     rows = durable(moves.withColumn("_slot", slot))
     within = Window.partitionBy(*cut).orderBy(*order).rowsBetween(_BEGIN, -1)
     live_move = F.when(F.col("_first"), F.col("_move")).otherwise(F.lit(0))
@@ -211,7 +211,7 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
         plain = [c for c in columns if c not in ("_paid", "_paid_in")]
         settled = durable(settle(part.select(*plain, "_slot"), keys, order))
         part = settled.join(part.select(*keys, *order, "_paid"), [*keys, *order]) if "_paid" in columns else settled
-        walked.append(part.select(*kept, "_code", "_room"))
+        walked.append(part.select(*carried, "_code", "_room"))
         after = F.col("_room") + F.when(F.col("_code") == ACCEPTED, F.col("_move")).otherwise(F.lit(0))
         front = part.groupBy(*keys).agg(
             F.max(F.struct(*order, after.alias("_after")))["_after"].alias("_in"), F.max("_slot").alias("_done")
@@ -221,15 +221,15 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
         )
         newly = outcome.where(~F.col("_taken")).select(*keys, "_repeat")
         if refused is not None:
-            kept = refused.join(outcome.where("_taken"), [*keys, "_repeat"], "left_anti")
-            newly = kept.unionByName(newly).distinct()
+            still = refused.join(outcome.where("_taken"), [*keys, "_repeat"], "left_anti")
+            newly = still.unionByName(newly).distinct()
         refused = durable(newly)
 
     rooms = cleared[0]
     for more in cleared[1:]:
         rooms = rooms.unionByName(more)
     result = placed.join(durable(rooms), cut).select(
-        *kept,
+        *carried,
         F.when(F.col("_first"), ACCEPTED).otherwise(REPEATED).alias("_code"),
         (F.col("_room_in") + F.col("_gain")).alias("_room"),
     )

@@ -33,7 +33,8 @@ def durable(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    # Fresh column identities, so that the result can be joined with frames it came from.
+    return df.checkpoint(eager=True).toDF(*df.columns)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

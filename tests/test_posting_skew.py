@@ -107,3 +107,39 @@ def test_reconciliation_holds(spark):
     sums = posting.reconcile_deposits(posting.post_deposit_txn(req, acc), acc)
     assert sums.where("not reconciled").count() == 0
     assert sums.count() == len(accounts)
+
+
+def test_hot_fund_holdings_equal_plain(spark):
+    rng = random.Random(9)
+    day = dt.date(2024, 1, 1)
+    rows = []
+    for i in range(240):
+        folio = "F1" if rng.random() < 0.5 else f"F{rng.randint(2, 6)}"
+        at = day + dt.timedelta(days=rng.randint(0, 9))
+        kind = rng.choice(["purchase", "sip", "redemption", "redemption", "switch_out", "dividend"])
+        rows.append((i, folio, rng.choice("ST") if folio != "F1" else "S", kind, at, at, Decimal(rng.randint(1, 900)), f"k{i if rng.random() < 0.8 else i // 2}"))
+    requests = spark.createDataFrame(rows, "request_id bigint, folio_id string, scheme_code string, txn_type string, txn_date date, "
+                                     "nav_date date, amount decimal(18,2), idempotency_key string")
+    folios = spark.createDataFrame([(f"F{i}", "active") for i in range(1, 6)], "folio_id string, status string")
+    nav = spark.createDataFrame([(s, day + dt.timedelta(days=d), Decimal(10 + d)) for s in "ST" for d in range(10) if d != 4],
+                                "scheme_code string, nav_date date, nav_value decimal(14,5)")
+    holdings = spark.createDataFrame([("F1", "S", Decimal(100), Decimal(50))],
+                                     "folio_id string, scheme_code string, units_held decimal(18,5), invested_amount decimal(18,2)")
+
+    def run(**kw):
+        posted = posting.post_mf_transaction(requests, folios, nav, holdings, **kw)
+        return {r.request_id: tuple(r) for r in posted.collect()}
+
+    plain = run()
+    held, paid = {("F1", "S"): Decimal(100)}, {("F1", "S"): Decimal(50)}
+    by_id = {r[0]: r for r in rows}
+    for i in sorted(plain, key=lambda i: (by_id[i][4], i)):
+        row = dict(zip(["outcome", "held", "paid"], [plain[i][9], plain[i][13], plain[i][14]]))
+        key = by_id[i][1], by_id[i][2]
+        if row["outcome"] == "accepted":
+            sell = by_id[i][3] in ("redemption", "switch_out")
+            sign = -1 if sell else 1
+            held[key] = held.get(key, Decimal(0)) + sign * plain[i][12]
+            paid[key] = max(Decimal(0), paid.get(key, Decimal(0)) + sign * by_id[i][6])
+            assert (row["held"], row["paid"]) == (held[key], paid[key])
+    assert run(max_rows=50) == plain
