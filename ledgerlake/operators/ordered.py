@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS)
     exact and combined map-side, so a retried task sees the same list.
     """
     def above(*columns: str) -> DataFrame:
-        counts = df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+        counts = df.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
         return counts.where(F.col("_n") > max_rows).select(*columns)
 
     # The first column alone has fewer groups, and no pair is larger than its part: mostly this settles it.
@@ -37,10 +38,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS)
     return None if heavy.isEmpty() else heavy
 
 
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` where null equals null, as it does in a grouping."""
+    names = {k: f"_m_{k}" for k in keys}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys; ``hot`` is bounded, see :func:`hot_keys`."""
-    keys = list(keys)
-    return df.join(F.broadcast(hot), keys, "left_anti"), df.join(F.broadcast(hot), keys, "left_semi")
+    return match(df, F.broadcast(hot), keys, "left_anti"), match(df, F.broadcast(hot), keys, "left_semi")
 
 
 @dataclass(frozen=True)
@@ -105,7 +112,7 @@ def running(
         *cut, *[v.carried(F.col(f"_t_{name}")).over(earlier).alias(f"_c_{name}") for name, v in values.items()]
     )
     local = heavy.select("*", *[v.over(cut, order).alias(f"_l_{name}") for name, v in values.items()])
-    merged = local.join(carries, cut, "left").select(
+    merged = match(local, carries, cut, "left").select(
         *df.columns,
         *[v.merge(F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, v in values.items()],
     )

@@ -150,7 +150,18 @@ def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 # --- hot keys, slot by slot -----------------------------------------------------------------------
 
 
-def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column) -> DataFrame:
+def _with_slots(moves: DataFrame, keys: list[str], slot: Column, max_rows: int) -> DataFrame:
+    """Number the slots of each key, putting neighbours together while they hold fewer than ``max_rows`` rows."""
+    sized = moves.withColumn("_fine", slot)
+    before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(_BEGIN, -1)
+    sizes = sized.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    number = F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(max_rows)).cast("long")
+    return sized.join(sizes.select(*keys, "_fine", number.alias("_slot")), [*keys, "_fine"]).drop("_fine")
+
+
+def settle_in_slots(
+    moves: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column, max_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """Same answer as :func:`settle` for keys too large for one task.
 
     Every slot gets its total move and the room it requires to pass untouched. Rounds then find, for all
@@ -160,7 +171,7 @@ def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = list(keys), list(order)
     cut, columns = keys + ["_slot"], moves.columns
     carried = [c for c in columns if c not in _WALK_ONLY]
-    rows = durable(moves.withColumn("_slot", slot))
+    rows = durable(_with_slots(moves, keys, slot, max_rows))
     within = Window.partitionBy(*cut).orderBy(*order).rowsBetween(_BEGIN, -1)
     live_move = F.when(F.col("_first"), F.col("_move")).otherwise(F.lit(0))
     placed = rows.withColumn("_gain", F.coalesce(F.sum(live_move).over(within), F.lit(0)))
@@ -320,6 +331,11 @@ def post(
     outcome is accepted, rejected, replayed (a repeat of an accepted request) or quarantined.
     """
     keys, order = list(ledger.keys), list(ledger.order)
+    homeless = F.lit(False)
+    for key in keys:
+        homeless = homeless | F.col(key).isNull()
+    unplaced = _unplaced(requests.where(homeless), state, ledger)
+    requests = requests.where(~homeless)
     if hot is DETECT:
         hot = hot_keys(requests, keys, max_rows)
     marked = match_history(mark_repeats(requests, ledger, state), ledger, history)
@@ -330,11 +346,12 @@ def post(
         # One state row per hot key: bounded as the hot keys are.
         few = state.join(F.broadcast(hot), keys, "left_semi")
         heavy_moves = _with_terms(heavy.join(F.broadcast(few), keys, "left"), ledger)
-        slotted = settle_in_slots(heavy_moves, keys, order, ledger.slot())
+        slotted = settle_in_slots(heavy_moves, keys, order, ledger.slot(), max_rows)
         if "_paid" in heavy_moves.columns:
             opening = heavy_moves.groupBy(*keys).agg(F.min("_paid_in").alias("_paid_in"))
             slotted = _tallied(slotted.join(F.broadcast(opening), keys), keys, order, ledger.slot, hot)
         settled = settle(_with_terms(ordinary.join(state, keys, "left"), ledger), keys, order).unionByName(slotted)
+    settled = settled.unionByName(unplaced.select(*settled.columns))
     identity = [F.lit(ledger.fact), *[F.col(k) for k in keys]]
     if "idempotency_key" in requests.columns:
         own = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
@@ -352,6 +369,18 @@ def post(
     return settled.select("*", outcome.alias("outcome"), stable_id(ledger.prefix, *identity).alias("txn_id"))
 
 
+def _unplaced(requests: DataFrame, state: DataFrame, ledger: Ledger) -> DataFrame:
+    """Requests without a key belong to no account. They would all meet in one task, so they stay where they are."""
+    rows = requests.select(
+        "*", F.lit(True).alias("_first"), F.lit(None).cast("string").alias("_repeat"),
+        *[F.lit(False).alias(c) for c in ("_reused", "_posted", "_reused_before")],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name not in ledger.keys],
+    )
+    return _with_terms(rows, ledger).select(
+        "*", F.lit(REFUSED).alias("_code"), F.lit(0).cast("long").alias("_room"), F.lit(0).cast("long").alias("_tally")
+    )
+
+
 def _with_terms(joined: DataFrame, ledger: Ledger) -> DataFrame:
     """Apply the ledger's terms, then the checks common to all ledgers."""
     rows = ledger.terms(joined)

@@ -38,7 +38,7 @@ def make(seed: int, n: int, repeats: float, hot_share: float = 0.5):
             same = [r for r in requests[-40:] if r["idempotency_key"] == key]
             account = same[0]["account_id"] if same else account
         requests.append({
-            "request_id": i, "account_id": account, "txn_datetime": START + dt.timedelta(minutes=rng.randint(0, 60 * 12)),
+            "request_id": i, "account_id": None if account == 10 else account, "txn_datetime": START + dt.timedelta(minutes=rng.randint(0, 60 * 12)),
             "amount": Decimal(rng.choice([0, 5, 20, 60, 150, 400])) if rng.random() < 0.02 else Decimal(rng.randint(1, 200)),
             "dr_cr": rng.choice(["debit", "debit", "credit"]), "channel": "upi", "idempotency_key": key,
         })
