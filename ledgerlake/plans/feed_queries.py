@@ -91,7 +91,7 @@ PAYLOAD_SQL = """
 payload_rows AS (
   SELECT r.scheme_code, r.l_orderkey, o.o_orderdate AS fetched_at,
     '{"meta":{"scheme_code":"' || r.scheme_code || '"},"data":[' ||
-    string_agg('{"date":"' || r.date || '","nav":"' || r.nav || '"}', ',' ORDER BY r.l_linenumber, r.l_partkey, r.l_suppkey) ||
+    string_agg('{"date":"' || r.date || '","nav":"' || r.nav || '"}', ',' ORDER BY r.l_linenumber, r.l_partkey, r.l_suppkey, r.date, r.nav) ||
     '],"status":"SUCCESS"}' AS payload
   FROM fx_raw_nav r JOIN orders o ON o.o_orderkey = r.l_orderkey GROUP BY r.scheme_code, r.l_orderkey, o.o_orderdate),
 bronze AS (
@@ -119,7 +119,7 @@ def _latest_payload(bank):
 
 @query("bronze_parse_payload", sql_over("fx_raw_nav", """
 SELECT r.scheme_code, o.o_orderdate AS fetched_at, r.scheme_code AS meta_code,
-  CAST(row_number() OVER (PARTITION BY r.scheme_code, r.l_orderkey ORDER BY r.l_linenumber, r.l_partkey, r.l_suppkey) - 1 AS INTEGER) AS pos, r.date, r.nav
+  CAST(row_number() OVER (PARTITION BY r.scheme_code, r.l_orderkey ORDER BY r.l_linenumber, r.l_partkey, r.l_suppkey, r.date, r.nav) - 1 AS INTEGER) AS pos, r.date, r.nav
 FROM fx_raw_nav r JOIN orders o ON o.o_orderkey = r.l_orderkey""".strip()))
 def _parse_payload(bank):
     return feed.parse_raw(bronze(bank)).select(
