@@ -117,9 +117,9 @@ crc_table AS (
 sized AS (
   SELECT doc_id, k0, (octet_length(encode(text)) + 8)::BIGINT AS size,
     xor(list_reduce(list_prepend(4294967295::UBIGINT, coalesce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::UBIGINT), []::UBIGINT[])),
-      lambda c, b: xor(c >> 8, (SELECT t FROM crc_table)[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32,
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255::UBIGINT)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32,
     md5(coalesce(doc_id::VARCHAR, '')) AS mixed
-  FROM docs)
+  FROM docs, crc_table)
 SELECT s.doc_id, s.size, s.text_crc32, 'key' AS law, e.cur::INTEGER AS shard,
   row_number() OVER (PARTITION BY e.cur ORDER BY s.mixed, s.doc_id, s.text_crc32, s.size) - 1 AS slot,
   CASE WHEN e.too = 24 THEN 24 ELSE e.cur::INTEGER END AS grown_shard
