@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import read, running_start, written
 
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 
 
 def targets(sizes: DataFrame, weights: list[int], share: float, most: float) -> DataFrame:
