@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op4_mixing, op8_sharding
+from ledgerlake.llm import op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
 
 QUERIES = {
+    "op3_redirect_equivalence": op3_url_filter.op3_redirect_equivalence,
     "op4_apportioned_mix": op4_mixing.op4_apportioned_mix,
+    "op6_diagonal_voting": op6_license_scan.op6_diagonal_voting,
     "op8_jump_sharding": op8_sharding.op8_jump_sharding,
 }
 
 ORACLES = {
+    "op3_redirect_equivalence": op3_url_filter.ORACLE,
     "op4_apportioned_mix": op4_mixing.ORACLE,
+    "op6_diagonal_voting": op6_license_scan.ORACLE,
     "op8_jump_sharding": op8_sharding.ORACLE,
 }
