@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
+from ledgerlake.llm import op1_fingerprint, op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
 
 QUERIES = {
+    "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
     "op3_redirect_equivalence": op3_url_filter.op3_redirect_equivalence,
     "op4_apportioned_mix": op4_mixing.op4_apportioned_mix,
     "op6_diagonal_voting": op6_license_scan.op6_diagonal_voting,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_spot_signatures": op1_fingerprint.ORACLE,
     "op3_redirect_equivalence": op3_url_filter.ORACLE,
     "op4_apportioned_mix": op4_mixing.ORACLE,
     "op6_diagonal_voting": op6_license_scan.ORACLE,
