@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_fingerprint, op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
+from ledgerlake.llm import op1_fingerprint, op10_quality, op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
 
 QUERIES = {
     "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_apportioned_mix": op4_mixing.op4_apportioned_mix,
     "op6_diagonal_voting": op6_license_scan.op6_diagonal_voting,
     "op8_jump_sharding": op8_sharding.op8_jump_sharding,
+    "op10_importance_resampling": op10_quality.op10_importance_resampling,
 }
 
 ORACLES = {
