@@ -7,7 +7,7 @@ and marks, word pairs, word beginnings and a word said five times in a row. A ra
 document cannot make up for a bad passage by length. The sum is divided by the root of the number of n-grams.
 
 Sampling adds Gumbel noise to weight / temperature and takes the k largest. If k is not given, it is the number of
-documents whose noisy weight reaches the cut that best parts the labelled sample.
+documents whose weight reaches the cut that best parts the labelled sample.
 
 The models have a fixed number of buckets (``BUCKETS`` of 16 bytes). The fit uses at most ``MOST_LABELS`` labelled
 rows, the smallest by a hash of their id; counts and weights cover every document.
@@ -145,14 +145,14 @@ def noisy(weighted: DataFrame, seed: int, temperature: float) -> DataFrame:
 
 
 def best_cut(keys: np.ndarray, good: np.ndarray) -> float:
-    """The key from which on to keep, so that kept good and rejected bad shares of a labelled sample add up highest."""
+    """The weight from which on to keep, so that kept good and rejected bad shares of a labelled sample add up highest."""
     if not good.any() or good.all():
         return -np.inf
     order = np.argsort(keys, kind="stable")
     lost = np.cumsum(good[order]) / good.sum()
     caught = np.cumsum(~good[order]) / (~good).sum()
     gain = caught - lost
-    # The cut lies between two different keys.
+    # The cut lies between two different weights.
     gain[:-1][keys[order][1:] == keys[order][:-1]] = -1.0
     at = int(np.argmax(gain))
     if gain[at] <= 0 or at + 1 == len(keys):
@@ -185,34 +185,38 @@ def kth_key(keyed: DataFrame, k: int, bins: int = 4096) -> float:
         low, high = least, most
 
 
-def kept(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 10, temperature: float = TEMPERATURE) -> DataFrame:
-    """The sampled rows of ``docs`` with ``log_weight`` and ``key``; with k, equal keys at the edge all stay."""
+def sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 10, temperature: float = TEMPERATURE) -> tuple[DataFrame, np.ndarray, float]:
+    """(doc_id, log_weight, key) of every row, the ratios they come from, and the key from which on rows are sampled.
+
+    With equal keys at the edge all of them stay.
+    """
     good, bad = labelled(labels)
-    raw, target, documents, targets = models(docs, good)
-    scored = weights(docs, ratios(raw, target, documents, targets))
-    keyed = noisy(scored, seed, temperature)
-    if k is not None:
-        narrow = written(noisy(weights(docs.select("doc_id", "text"), ratios(raw, target, documents, targets)), seed, temperature).select("key"), "quality-keys")
-        return keyed.where(F.col("key") >= F.lit(float(kth_key(narrow, k))))
-    return keyed.where(F.col("key") >= F.lit(_labelled_cut(docs, good, bad, ratios(raw, target, documents, targets), seed, temperature)))
+    ratio = ratios(*models(docs, good))
+    scored = written(noisy(weights(docs.select("doc_id", "text"), ratio).select("doc_id", "log_weight"), seed, temperature), "quality-weights")
+    if k is None:
+        k = scored.where(F.col("log_weight") >= F.lit(_labelled_cut(scored, good, bad))).count()
+    return scored, ratio, kth_key(scored, k)
+
+
+def kept(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 10, temperature: float = TEMPERATURE) -> DataFrame:
+    """The sampled rows of ``docs``, all columns, with ``log_weight`` and ``key``."""
+    _, ratio, least = sampled(docs, labels, k, seed, temperature)
+    return noisy(weights(docs.drop("key"), ratio), seed, temperature).where(F.col("key") >= F.lit(least))
 
 
-def _labelled_cut(docs: DataFrame, good: np.ndarray, bad: np.ndarray, ratio: np.ndarray, seed: int, temperature: float) -> float:
-    """Best cut of the labelled sample: its documents, at most MOST_LABELS ids, are weighed in one pass of their own."""
-    both = np.sort(np.concatenate([good, bad]))
-    known = docs.sparkSession.sparkContext.broadcast(both)
+def _labelled_cut(scored: DataFrame, good: np.ndarray, bad: np.ndarray) -> float:
+    """Best cut between the weights of the labelled sample (at most MOST_LABELS ids, one row each)."""
+    known = scored.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([good, bad])))
 
     @F.pandas_udf("boolean")
     def in_sample(ids: pd.Series) -> pd.Series:
         return pd.Series(_among(ids.fillna(np.iinfo(np.int64).min).to_numpy(np.int64), known.value))
 
-    sample = docs.select("doc_id", "text").where(in_sample("doc_id"))
-    # One row per id, so that a repeated document does not outweigh the others.
-    rows = noisy(weights(sample, ratio).groupBy("doc_id").agg(F.min("log_weight").alias("log_weight")), seed, temperature).select("doc_id", "key").toPandas()
-    return best_cut(rows["key"].to_numpy(float), _among(rows["doc_id"].to_numpy(np.int64), good))
+    rows = scored.where(in_sample("doc_id")).groupBy("doc_id").agg(F.min("log_weight").alias("log_weight")).toPandas()
+    return best_cut(rows["log_weight"].to_numpy(float), _among(rows["doc_id"].to_numpy(np.int64), good))
 
 
 def op10_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that resampling keeps, with their weights."""
-    docs = read(spark, folder, "documents").select("doc_id", "text")
-    return kept(docs, read(spark, folder, "labels")).select("doc_id", "log_weight", "key")
+    scored, _, least = sampled(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return scored.where(F.col("key") >= F.lit(least))
