@@ -111,15 +111,18 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     length, and the signatures) goes there in a second, smaller shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    known = with_signatures(docs.select(text_key(F.col("text")).alias("key"), text.alias("text")), "text", "sigs")
-    known = known.groupBy("key").agg(F.first("text").alias("text"), F.first("sigs").alias("sigs"))
+    # Signatures are made where they are needed, on both sides of the second shuffle, so that the first moves texts alone.
+    known = docs.select(text_key(F.col("text")).alias("key"), text.alias("text")).groupBy("key").agg(F.first("text").alias("text"))
     lengths = docs.select(text_key(F.col("text")).alias("key"), F.char_length(text).alias("n_chars")).groupBy("key").agg(F.first("n_chars").alias("n_chars"))
     order = successors(docs).join(lengths, "key").withColumn("need", F.floor(F.col("n_chars") / 4).cast("int"))
-    ahead = known.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"), F.col("sigs").alias("next_sigs"))
-    fetched = order.join(ahead, "next_key").select("doc_id", "key", "n_chars", "need", F.expr("substring(next_text, 1, need)").alias("patch"), "next_sigs")
-    both = fetched.join(known, "key")
+    signed = with_signatures(known, "text", "sigs")
+    ahead = signed.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"), F.unhex(F.array_join("sigs", "")).alias("next_packed"))
+    fetched = order.join(ahead, "next_key").select("doc_id", "key", "n_chars", "need", F.expr("substring(next_text, 1, need)").alias("patch"), "next_packed")
+    both = fetched.join(signed, "key")
     edited = F.concat(F.expr("substring(text, 1, n_chars - need)"), F.col("patch"))
     both = with_signatures(both.withColumn("edited", edited), "edited", "edited_sigs")
+    each = F.when(F.octet_length("next_packed") > 0, F.sequence(F.lit(1), F.octet_length("next_packed"), F.lit(4))).otherwise(F.array().cast("array<int>"))
+    both = both.withColumn("next_sigs", F.transform(each, lambda i: F.lower(F.hex(F.substring("next_packed", i, F.lit(4))))))
     return both.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         F.array_join("sigs", ",").alias("fingerprint"), F.array_join("edited_sigs", ",").alias("edited_fingerprint"),
