@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_fingerprint, op10_quality, op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
+from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op3_url_filter, op4_mixing, op6_license_scan, op8_sharding
 
 QUERIES = {
     "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
+    "op2_ngram_jaccard": op2_ngram_join.op2_ngram_jaccard,
     "op3_redirect_equivalence": op3_url_filter.op3_redirect_equivalence,
     "op4_apportioned_mix": op4_mixing.op4_apportioned_mix,
     "op6_diagonal_voting": op6_license_scan.op6_diagonal_voting,
