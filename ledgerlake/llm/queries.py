@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op8_sharding, op9_suffix_dedup
+from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op7_html, op8_sharding, op9_suffix_dedup
 
 QUERIES = {
     "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_apportioned_mix": op4_mixing.op4_apportioned_mix,
     "op5_seed_and_align": op5_decontaminate.op5_seed_and_align,
     "op6_diagonal_voting": op6_license_scan.op6_diagonal_voting,
+    "op7_wrapper_induction": op7_html.op7_wrapper_induction,
     "op8_jump_sharding": op8_sharding.op8_jump_sharding,
     "op9_suffix_runs": op9_suffix_dedup.op9_suffix_runs,
     "op10_importance_resampling": op10_quality.op10_importance_resampling,
