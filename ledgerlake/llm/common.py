@@ -19,6 +19,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until it clashes with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key(text: Column) -> Column:
     """16 bytes that stand for a whole text; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

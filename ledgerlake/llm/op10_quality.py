@@ -14,7 +14,8 @@ rows, the smallest by a hash of their id; counts and weights cover every documen
 
 Defined cases: a null or empty text has no n-grams and weight 0; a null doc_id has no label; of several labels of an
 id the worst counts; equal rows get equal weights and noise; without any label all weights are 0 and every document
-stays; an empty table gives an empty result; other columns pass through ``kept`` unchanged.
+stays; an empty table gives an empty result; other columns, whatever their names, pass through
+``kept`` unchanged.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerlake.llm.common import read, written
+from ledgerlake.llm.common import fresh, read, written
 from ledgerlake.llm.words import Words, chunks, powers, prefix_sums, scatter
 
 TABLE_BITS = 17
@@ -120,10 +122,11 @@ def ratios(raw: np.ndarray, target: np.ndarray, documents: int, targets: int) ->
     return np.where(certain, np.log((target + SMOOTH) / (expected + SMOOTH)), 0.0).astype(np.float32)
 
 
-def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """Add ``log_weight`` to every row of ``docs``, read once and without a shuffle."""
+def weights(docs: DataFrame, ratio: np.ndarray, name: str = "log_weight") -> DataFrame:
+    """Add ``name`` to every row of ``docs``, read once and without a shuffle."""
     known = docs.sparkSession.sparkContext.broadcast(ratio)
-    schema = docs.drop("log_weight").schema.add("log_weight", "double")
+    # A schema's add() changes it, so it is built from the fields.
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,15 +136,15 @@ def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 total[start:end] = np.bincount(of, weights=known.value[bucket], minlength=end - start)
                 size[start:end] = np.bincount(of, minlength=end - start)
             weight = total / np.sqrt(np.maximum(size, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], [*batch.schema.names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], [*batch.schema.names, name])
 
-    return docs.drop("log_weight").mapInArrow(weigh, schema)
+    return docs.mapInArrow(weigh, schema)
 
 
-def noisy(weighted: DataFrame, seed: int, temperature: float) -> DataFrame:
-    """Add ``key``: log_weight / temperature + Gumbel noise drawn from the id and the seed."""
+def noisy(weighted: DataFrame, seed: int, temperature: float, weight: str = "log_weight", name: str = "key") -> DataFrame:
+    """Add ``name``: weight / temperature + Gumbel noise drawn from the id and the seed."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11).cast("double") + 0.5) / F.lit(2.0**53)
-    return weighted.withColumn("key", F.col("log_weight") / F.lit(temperature) - F.log(-F.log(uniform)))
+    return weighted.withColumn(name, F.col(weight) / F.lit(temperature) - F.log(-F.log(uniform)))
 
 
 def best_cut(keys: np.ndarray, good: np.ndarray) -> float:
@@ -199,9 +202,12 @@ def sampled(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
 
 
 def kept(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 10, temperature: float = TEMPERATURE) -> DataFrame:
-    """The sampled rows of ``docs``, all columns, with ``log_weight`` and ``key``."""
+    """The sampled rows of ``docs``, with its own columns."""
     _, ratio, least = sampled(docs, labels, k, seed, temperature)
-    return noisy(weights(docs.drop("key"), ratio), seed, temperature).where(F.col("key") >= F.lit(least))
+    weight = fresh(docs, "log_weight")
+    weighted = weights(docs, ratio, weight)
+    key = fresh(weighted, "key")
+    return noisy(weighted, seed, temperature, weight, key).where(F.col(key) >= F.lit(least)).select(*docs.columns)
 
 
 def _labelled_cut(scored: DataFrame, good: np.ndarray, bad: np.ndarray) -> float:

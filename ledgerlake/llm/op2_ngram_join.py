@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from ledgerlake.llm.common import components, read, text_key, written
+from ledgerlake.llm.common import components, fresh, read, text_key, written
 from ledgerlake.llm.words import Words, chunks, scatter
 
 N, LEAST = 5, 0.8
@@ -221,9 +221,10 @@ def representatives(docs: DataFrame) -> DataFrame:
     _, texts = classes(docs)
     # Ids may repeat: among equal ids the smaller text key decides, among equal rows any one.
     first = texts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
-    chosen = first.select(F.col("first.key").alias("_key"), F.col("first.doc_id").alias("_id"))
-    rows = docs.withColumn("_own", text_key(F.col("text")))
-    return rows.join(chosen, (F.col("_own") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_own"]).select(*docs.columns)
+    own, key, least = fresh(docs, "own"), fresh(docs, "key"), fresh(docs, "least")
+    chosen = first.select(F.col("first.key").alias(key), F.col("first.doc_id").alias(least))
+    rows = docs.withColumn(own, text_key(F.col("text")))
+    return rows.join(chosen, (F.col(own) == F.col(key)) & F.col("doc_id").eqNullSafe(F.col(least))).dropDuplicates([own]).select(*docs.columns)
 
 
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

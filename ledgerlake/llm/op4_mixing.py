@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import read, running_start, written
+from ledgerlake.llm.common import fresh, read, running_start, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 4_000
@@ -107,6 +107,17 @@ def mix(docs: DataFrame, weights: list[int], share: float, most: float, block: i
     return joined.select("doc_id", "source", "size", "source_size", "target", "blocks", taken.cast("long").alias("taken"))
 
 
+def mixed_rows(docs: DataFrame, **how: object) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (to the nearest whole number; it cuts two documents a source)."""
+    taken = mix(docs, **how).where("size > 0").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("n"))
+    names = {c: fresh(docs, f"mix_{c}") for c in ("id", "source", "size", "times", "turn")}
+    times = taken.select(F.col("doc_id").alias(names["id"]), F.col("source").alias(names["source"]), F.col("size").alias(names["size"]),
+                         F.round(F.col("taken") / (F.col("n") * F.col("size"))).cast("int").alias(names["times"])).where(F.col(names["times"]) > 0)
+    own = F.regexp_count(F.coalesce(docs["text"], F.lit("")), F.lit(WORD)).cast("long")
+    joined = docs.join(times, docs["doc_id"].eqNullSafe(F.col(names["id"])) & docs["source"].eqNullSafe(F.col(names["source"])) & (own == F.col(names["size"])))
+    return joined.withColumn(names["turn"], F.explode(F.sequence(F.lit(1), F.col(names["times"])))).select(*docs.columns)
+
+
 # What the query and the pipeline mix to.
 PRODUCTION = {"weights": [5, 2, 1], "share": 1.5, "most": 2.0, "block": 16, "seed": "mix"}
 
