@@ -9,8 +9,8 @@ Each ledger is brought to one form. A key has ``room``: what may still be used.
 3. only from the first shortfall on is a sequential walk needed. The window leaves the rows of a key
    together and in order, so the walk streams over Arrow batches with a few scalars of state, and rows
    before a shortfall pass it as whole columns. Everything of a key happens in one shuffle and one sort;
-4. hot keys are cut into slots. A slot is settled by its own total and by the room it requires; only
-   slots that fall short are walked, one bounded slot per key at a time.
+4. hot keys are cut into slots, ranges of their order. A slot is settled by its own total and by the room it
+   requires; from a key's first slot that falls short on, its rows stream through the walk once.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,15 +30,16 @@ from ..functions.money import (
 )
 from ..functions.text import stable_id
 from ..session import durable
-from .ordered import MAX_GROUP_ROWS, Running, hot_keys, running, split_hot
+from .ordered import MAX_GROUP_ROWS, Running, hot_keys, match, running, split_hot
+from .rules import RULES
 
 _BEGIN = Window.unboundedPreceding
 REFUSED, ACCEPTED, REPEATED = 0, 1, 2
 DETECT = object()
 
-# Reason codes of the rejection log, then the two that only quarantine a request.
+# Reason codes of the rejection log, then those that only quarantine a request.
 REASONS = ("INSUFFICIENT_BALANCE", "LIMIT_EXCEEDED", "ACCOUNT_CLOSED", "NAV_NOT_FOUND", "UNITS_EXCEEDED", "FK_NOT_FOUND")
-QUARANTINE_REASONS = ("INVALID_AMOUNT", "KEY_REUSED")
+QUARANTINE_REASONS = ("INVALID_AMOUNT", "INVALID_VALUE", "KEY_REUSED")
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,10 @@ class Ledger:
     refusal_is_fact: bool = False
     # State columns that have done their work once the terms are there; they are not carried any further.
     state_only: Sequence[str] = ()
+    # Columns whose declared rule a request must meet; those it must meet if it has a value; numbers that must be there.
+    required: Sequence[str] = ()
+    optional: Sequence[str] = ()
+    numbers: Sequence[str] = ()
 
 
 # --- the walk -------------------------------------------------------------------------------------
@@ -150,103 +156,139 @@ def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 # --- hot keys, slot by slot -----------------------------------------------------------------------
 
 
-def _with_slots(moves: DataFrame, keys: list[str], slot: Column, max_rows: int) -> DataFrame:
-    """Number the slots of each key, putting neighbours together while they hold fewer than ``max_rows`` rows."""
-    sized = moves.withColumn("_fine", slot)
-    before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(_BEGIN, -1)
-    sizes = sized.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_n"))
-    number = F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(max_rows)).cast("long")
-    return sized.join(sizes.select(*keys, "_fine", number.alias("_slot")), [*keys, "_fine"]).drop("_fine")
+def _in_slots(moves: DataFrame, keys: list[str], order: list[str], max_rows: int) -> DataFrame:
+    """Deal rows into ranges of (keys, order); ``_slot`` numbers them, ``_tie`` makes the order total.
 
+    Ranges are cut through a key wherever its rows need it, however many share an hour or a day, and nulls are values
+    like any other. The ranges are kept in reliable storage, so that a repeated task cannot deal them anew.
+    """
+    rows = durable(moves.withColumn("_tie", F.xxhash64(*moves.columns)))
+    parts = int(rows.count() // max_rows) + 1
+    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in (*keys, *order, "_tie")])
+    return durable(ranged.withColumn("_slot", F.spark_partition_id()))
 
-def settle_in_slots(
-    moves: DataFrame, keys: Sequence[str], order: Sequence[str], slot: Column, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """Same answer as :func:`settle` for keys too large for one task.
 
-    Every slot gets its total move and the room it requires to pass untouched. Rounds then find, for all
-    keys at once, the next slot whose incoming room is too small (or that retries a refused request), walk
-    just that slot, and go on with the room it leaves. Rounds are as many as the slots that fall short.
+def _changes(batch: pa.RecordBatch, keys: Sequence[str], last: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Row numbers at which a new key begins, and the key of the last row."""
+    new = np.zeros(batch.num_rows, bool)
+    for key in keys:
+        values = batch.column(batch.schema.get_field_index(key))
+        new[1:] |= pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False).astype(bool)
+    def at(row):
+        return tuple(batch.column(batch.schema.get_field_index(k))[row].as_py() for k in keys)
+    new[0] = last is None or at(0) != last
+    return np.flatnonzero(new), at(batch.num_rows - 1)
+
+
+class _Account:
+    """A key's state while its rows stream by: the room, and the repeated keys whose last try was refused."""
+
+    def __init__(self, room: int):
+        self.room, self.retryable = room, set()
+
+    def take(self, first, need, limited, move, repeat, codes, rooms) -> None:
+        """Settle rows in order. Runs without repeats go by blocks; only a refusal ends a block early."""
+        special = np.flatnonzero(np.array([r is not None for r in repeat]))
+        at, block = 0, 64
+        while at < len(first):
+            after = np.searchsorted(special, at)
+            if after < len(special) and special[after] == at:
+                rooms[at] = self.room
+                if not first[at] and repeat[at] not in self.retryable:
+                    codes[at] = REPEATED
+                elif limited[at] and self.room < need[at]:
+                    codes[at] = REFUSED
+                    self.retryable.add(repeat[at])
+                else:
+                    codes[at] = ACCEPTED
+                    self.room += int(move[at])
+                    self.retryable.discard(repeat[at])
+                at += 1
+                continue
+            end = min(at + block, special[after] if after < len(special) else len(first))
+            live = first[at:end]
+            gain = np.cumsum(np.where(live, move[at:end], 0))
+            room = self.room + np.r_[0, gain[:-1]]
+            short = np.flatnonzero(live & limited[at:end] & (room < need[at:end]))
+            stop = end if not len(short) else at + int(short[0])
+            rooms[at:stop] = room[:stop - at]
+            codes[at:stop] = np.where(live[:stop - at], ACCEPTED, REPEATED)
+            block = block * 2 if not len(short) else 64
+            if stop > at:
+                self.room += int(gain[stop - at - 1])
+            if len(short):
+                rooms[stop], codes[stop] = self.room, REFUSED
+                stop += 1
+            at = stop
+
+
+def _walk_stream(keys: Sequence[str]):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come key by key in order, from a key's first short slot on; ``_room_in`` is the room it begins with."""
+        account, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            def column(name, batch=batch):
+                return batch.column(batch.schema.get_field_index(name))
+            first = column("_first").to_numpy(zero_copy_only=False).astype(bool)
+            limited = np.asarray(column("_need").is_valid())
+            need, move, begin = (column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("_need", "_move", "_room_in"))
+            repeat = column("_repeat").to_pylist()
+            codes, rooms = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64)
+            starts, key = _changes(batch, keys, last)
+            edges = [0, *starts[starts > 0], batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a in starts:
+                    account = _Account(int(begin[a]))
+                account.take(first[a:b], need[a:b], limited[a:b], move[a:b], repeat[a:b], codes[a:b], rooms[a:b])
+            last = key
+            names = [n for n in batch.schema.names if n not in (*_WALK_ONLY, "_room_in", "_tie", "_slot")]
+            yield pa.RecordBatch.from_arrays([*[column(n) for n in names], pa.array(codes), pa.array(rooms)], names=[*names, "_code", "_room"])
+
+    return walk
+
+
+def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Same answer as :func:`settle` for keys too large for one task, in a constant number of jobs.
+
+    Every slot gets its total move and the room it requires to pass untouched; running totals over one row per slot
+    find each key's first slot that falls short. What comes before is settled slot by slot, in parallel. From that
+    slot on every decision hangs on the one before, so those rows stream once, in order, through a walk whose state
+    is a room and the refused keys that may be tried again.
     """
     keys, order = list(keys), list(order)
-    cut, columns = keys + ["_slot"], moves.columns
-    carried = [c for c in columns if c not in _WALK_ONLY]
-    rows = durable(_with_slots(moves, keys, slot, max_rows))
-    within = Window.partitionBy(*cut).orderBy(*order).rowsBetween(_BEGIN, -1)
+    cut, columns = [*keys, "_slot"], moves.columns
+    carried = [c for c in columns if c not in ("_opening", "_need")]
+    rows = _in_slots(moves, keys, order, max_rows)
+    within = Window.partitionBy(*cut).orderBy(*order, "_tie").rowsBetween(_BEGIN, -1)
     live_move = F.when(F.col("_first"), F.col("_move")).otherwise(F.lit(0))
     placed = rows.withColumn("_gain", F.coalesce(F.sum(live_move).over(within), F.lit(0)))
-    slots = durable(
-        placed.groupBy(*cut).agg(
-            F.sum(live_move).alias("_total"),
-            F.max(F.when(F.col("_first"), F.col("_need") - F.col("_gain"))).alias("_required"),
-            F.min("_opening").alias("_opening"),
-        )
-    )
-    repeats = rows.where(F.col("_repeat").isNotNull() & ~F.col("_first")).select(*keys, "_repeat", "_slot").distinct()
-    refused: DataFrame | None = None
-    front = slots.groupBy(*keys).agg(F.min("_opening").alias("_in")).withColumn(
-        "_done", F.lit(None).cast(rows.schema["_slot"].dataType)
+    slots = placed.groupBy(*cut).agg(
+        F.sum(live_move).alias("_total"), F.min("_opening").alias("_begin"),
+        F.max(F.when(F.col("_first"), F.col("_need") - F.col("_gain"))).alias("_required"),
     )
     chain = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(_BEGIN, -1)
-    cleared: list[DataFrame] = []
-    walked: list[DataFrame] = []
-
-    while True:
-        ahead = slots.join(F.broadcast(front), keys).where(
-            F.col("_done").isNull() | (F.col("_slot") > F.col("_done"))
-        )
-        ahead = ahead.withColumn("_room_in", F.col("_in") + F.coalesce(F.sum("_total").over(chain), F.lit(0)))
-        broken = F.coalesce(F.col("_room_in") < F.col("_required"), F.lit(False))
-        if refused is not None:
-            retried = repeats.join(refused, [*keys, "_repeat"], "left_semi").select(*cut).distinct()
-            ahead = ahead.join(retried.withColumn("_retry", F.lit(True)), cut, "left")
-            broken = broken | F.coalesce(F.col("_retry"), F.lit(False))
-        ahead = durable(ahead.withColumn("_broken", broken).select(*cut, "_room_in", "_broken"))
-        # At most one row per hot key, so these stay small enough to broadcast.
-        stops = durable(
-            ahead.where("_broken").groupBy(*keys).agg(F.min(F.struct("_slot", "_room_in")).alias("_stop"))
-        )
-        until = ahead.join(F.broadcast(stops), keys, "left")
-        cleared.append(
-            until.where(F.col("_stop").isNull() | (F.col("_slot") < F.col("_stop._slot"))).select(*cut, "_room_in")
-        )
-        if stops.isEmpty():
-            break
-        stop = stops.select(*keys, "_stop._slot", F.col("_stop._room_in").alias("_room_in"))
-        part = rows.join(F.broadcast(stop), cut).withColumn("_opening", F.col("_room_in")).drop("_room_in")
-        if refused is not None:
-            again = part.where(F.col("_repeat").isNotNull()).join(refused, [*keys, "_repeat"], "left_semi")
-            again = again.groupBy(*keys, "_repeat").agg(F.min(F.struct(*order)).alias("_again"))
-            live = F.coalesce(F.struct(*order) == F.col("_again"), F.col("_first"))
-            part = part.join(again, [*keys, "_repeat"], "left").withColumn("_first", live)
-        plain = [c for c in columns if c not in ("_paid", "_paid_in")]
-        settled = durable(settle(part.select(*plain, "_slot"), keys, order))
-        part = settled.join(part.select(*keys, *order, "_paid"), [*keys, *order]) if "_paid" in columns else settled
-        walked.append(part.select(*carried, "_code", "_room"))
-        after = F.col("_room") + F.when(F.col("_code") == ACCEPTED, F.col("_move")).otherwise(F.lit(0))
-        front = part.groupBy(*keys).agg(
-            F.max(F.struct(*order, after.alias("_after")))["_after"].alias("_in"), F.max("_slot").alias("_done")
-        )
-        outcome = part.where(F.col("_repeat").isNotNull()).groupBy(*keys, "_repeat").agg(
-            F.max(F.col("_code").isin(ACCEPTED, REPEATED)).alias("_taken")
-        )
-        newly = outcome.where(~F.col("_taken")).select(*keys, "_repeat")
-        if refused is not None:
-            still = refused.join(outcome.where("_taken"), [*keys, "_repeat"], "left_anti")
-            newly = still.unionByName(newly).distinct()
-        refused = durable(newly)
-
-    rooms = cleared[0]
-    for more in cleared[1:]:
-        rooms = rooms.unionByName(more)
-    result = placed.join(durable(rooms), cut).select(
+    entered = durable(slots.withColumn("_room_in", F.col("_begin") + F.coalesce(F.sum("_total").over(chain), F.lit(0)))
+                      .select(*cut, "_room_in", F.coalesce(F.col("_room_in") < F.col("_required"), F.lit(False)).alias("_broken")))
+    stops = entered.where("_broken").groupBy(*keys).agg(F.min(F.struct("_slot", "_room_in")).alias("_stop"))
+    known = match(entered.drop("_broken"), stops, keys, "left").select(
+        *cut, F.coalesce(F.col("_stop._room_in"), F.col("_room_in")).alias("_stop_room"), "_room_in",
+        F.coalesce(F.col("_slot") >= F.col("_stop._slot"), F.lit(False)).alias("_walked"))
+    known = durable(known)
+    cleared = match(placed, known.where("not _walked").drop("_walked", "_stop_room"), cut, "inner").select(
         *carried,
         F.when(F.col("_first"), ACCEPTED).otherwise(REPEATED).alias("_code"),
         (F.col("_room_in") + F.col("_gain")).alias("_room"),
     )
-    for part in walked:
-        result = result.unionByName(part)
-    return result
+    after = match(rows, known.where("_walked").select(*cut, F.col("_stop_room").alias("_room_in")), cut, "inner")
+    dealt = after.repartition(*keys).sortWithinPartitions(*keys, "_slot", *order, "_tie")
+    # What a second running value needs passes through under another name; it is settled afterwards.
+    stream = dealt.withColumnRenamed("_paid_in", "_paid_kept")
+    fields = [f for f in stream.schema.fields if f.name not in (*_WALK_ONLY, "_room_in", "_tie", "_slot")]
+    fields += [T.StructField("_code", T.IntegerType()), T.StructField("_room", T.LongType())]
+    walked = stream.mapInArrow(_walk_stream(keys), T.StructType(fields)).withColumnRenamed("_paid_kept", "_paid_in")
+    return cleared.unionByName(walked.select(*cleared.columns))
 
 
 def _tallied(settled: DataFrame, keys, order, slot: Callable[[], Column], hot: DataFrame) -> DataFrame:
@@ -271,7 +313,8 @@ def mark_repeats(requests: DataFrame, ledger: Ledger, state: DataFrame) -> DataF
             "*", F.lit(True).alias("_first"), F.lit(None).cast("string").alias("_repeat"), F.lit(False).alias("_reused")
         )
     keys, order = list(ledger.keys), list(ledger.order)
-    postable = requests.where(F.col("idempotency_key").isNotNull() & (F.col("amount") > 0)).join(
+    sound = (F.col("amount") > 0) & well_formed(requests, ledger)
+    postable = requests.where(F.col("idempotency_key").isNotNull() & sound).join(
         ledger.may_post(state).select(*keys), keys, "left_semi"
     )
     shared = postable.groupBy("idempotency_key").agg(
@@ -284,7 +327,7 @@ def mark_repeats(requests: DataFrame, ledger: Ledger, state: DataFrame) -> DataF
     known = F.col("_origin").isNotNull()
     here = F.struct(*keys) == F.struct(*[F.col(f"_origin.{k}").alias(k) for k in keys])
     is_origin = F.struct(*order) == F.struct(*[F.col(f"_origin.{c}").alias(c) for c in order])
-    usable = F.col("amount") > 0
+    usable = F.coalesce(sound, F.lit(False))
     first = ~known | ~usable | is_origin
     retry_key = F.lit(None).cast("string") if ledger.refusal_is_fact else F.when(known & usable, F.col("idempotency_key"))
     return marked.select(
@@ -346,10 +389,9 @@ def post(
         # One state row per hot key: bounded as the hot keys are.
         few = state.join(F.broadcast(hot), keys, "left_semi")
         heavy_moves = _with_terms(heavy.join(F.broadcast(few), keys, "left"), ledger)
-        slotted = settle_in_slots(heavy_moves, keys, order, ledger.slot(), max_rows)
+        slotted = settle_in_slots(heavy_moves, keys, order, max_rows)
         if "_paid" in heavy_moves.columns:
-            opening = heavy_moves.groupBy(*keys).agg(F.min("_paid_in").alias("_paid_in"))
-            slotted = _tallied(slotted.join(F.broadcast(opening), keys), keys, order, ledger.slot, hot)
+            slotted = _tallied(durable(slotted), keys, order, ledger.slot, hot)
         settled = settle(_with_terms(ordinary.join(state, keys, "left"), ledger), keys, order).unionByName(slotted)
     settled = settled.unionByName(unplaced.select(*settled.columns))
     identity = [F.lit(ledger.fact), *[F.col(k) for k in keys]]
@@ -381,11 +423,24 @@ def _unplaced(requests: DataFrame, state: DataFrame, ledger: Ledger) -> DataFram
     )
 
 
+def well_formed(requests: DataFrame, ledger: Ledger) -> Column:
+    """Do a request's declared values hold? Required ones must be there, optional ones may be null."""
+    good = F.lit(True)
+    for column, rule in RULES[ledger.fact].items():
+        if column in ledger.required or (column in ledger.optional and column in requests.columns):
+            holds = F.expr(rule)
+            good = good & F.coalesce(holds, F.lit(column not in ledger.required))
+    for column in ledger.numbers:
+        good = good & F.col(column).isNotNull()
+    return good
+
+
 def _with_terms(joined: DataFrame, ledger: Ledger) -> DataFrame:
     """Apply the ledger's terms, then the checks common to all ledgers."""
     rows = ledger.terms(joined)
     reason = (
         F.when(~F.coalesce(F.col("amount") > 0, F.lit(False)), "INVALID_AMOUNT")
+        .when(~well_formed(joined, ledger), "INVALID_VALUE")
         .when(F.col("_reason").isNotNull(), F.col("_reason"))
         .when(F.col("_reused") | F.col("_reused_before"), "KEY_REUSED")
     )
@@ -439,7 +494,7 @@ def _deposit_terms(joined: DataFrame) -> DataFrame:
 DEPOSIT = Ledger(
     "fact_deposit_txn", "DTXN_", ("account_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
     _deposit_terms, lambda state: state.where("status = 'active'"),
-    state_only=("current_balance", "min_balance", "overdraft_limit", "status"),
+    state_only=("current_balance", "min_balance", "overdraft_limit", "status"), required=("dr_cr",), optional=("channel",),
 )
 
 
@@ -473,6 +528,7 @@ def _card_terms(joined: DataFrame) -> DataFrame:
 CARD = Ledger(
     "fact_card_txn", "CTXN_", ("card_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
     _card_terms, refusal_is_fact=True, state_only=("credit_limit", "current_statement_balance", "status"),
+    required=("txn_type",), optional=("entry_mode",),
 )
 
 
@@ -514,7 +570,7 @@ def _payment_terms(joined: DataFrame) -> DataFrame:
 PAYMENT = Ledger(
     "fact_payment", "PAY_", ("from_account_id",), ("payment_datetime", "request_id"), _hour("payment_datetime"),
     _payment_terms, lambda state: state.where("status = 'active' and account_type in ('deposit', 'card')"),
-    state_only=("balance", "min_balance", "overdraft_limit", "deposit_type", "credit_limit", "status"),
+    state_only=("balance", "min_balance", "overdraft_limit", "deposit_type", "credit_limit", "status"), optional=("rail", "beneficiary_type"),
 )
 
 
@@ -527,7 +583,10 @@ def payment_sources(accounts: DataFrame, deposits: DataFrame, cards: DataFrame)
         "account_id", F.lit("deposit").alias("account_type"), F.col("current_balance").alias("balance"),
         "min_balance", "overdraft_limit", "deposit_type", F.lit(None).cast(MONEY).alias("credit_limit"),
     )
-    card_rows = cards.select(
+    # An account with several cards pays as far as the card with the least room allows.
+    room = F.coalesce(F.col("credit_limit"), F.lit(0)) - F.col("current_statement_balance")
+    tightest = F.min(F.struct(room.alias("room"), F.col("current_statement_balance"), F.col("credit_limit"))).alias("card")
+    card_rows = cards.groupBy("account_id").agg(tightest).select("account_id", "card.current_statement_balance", "card.credit_limit").select(
         "account_id", F.lit("card").alias("account_type"), F.col("current_statement_balance").alias("balance"),
         F.lit(None).cast(MONEY).alias("min_balance"), F.lit(None).cast(MONEY).alias("overdraft_limit"),
         F.lit(None).cast("string").alias("deposit_type"), "credit_limit",
@@ -571,7 +630,7 @@ def loan_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
         "fact_loan_txn", "LTXN_", ("loan_id",), tuple(order), lambda: F.col("txn_date"), _loan_terms,
         lambda state: state.where("status not in ('closed', 'written_off')"),
-        state_only=("outstanding_principal", "status"),
+        state_only=("outstanding_principal", "status"), required=("txn_type",), numbers=("principal_paid",),
     )
 
 
@@ -611,7 +670,7 @@ def _fund_terms(joined: DataFrame) -> DataFrame:
 def fund_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
         "fact_mf_transaction", "MFTXN_", ("folio_id", "scheme_code"), tuple(order), lambda: F.col("txn_date"), _fund_terms,
-        state_only=("held_before", "invested_before", "folio_status"),
+        state_only=("held_before", "invested_before", "folio_status"), required=("txn_type",),
     )
 
 
