@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-grams of test items seed places in documents, Smith-Waterman scores them.
 
 How many documents hold each three-word gram of the items is counted over the whole corpus. An item's seeds are the
-rarer half of its grams (``SEEDS`` at least): the ranking is its own, so an item that leaked into very many documents
+rarer half of its grams that occur at all (``SEEDS`` at least): the ranking is its own, so an item that leaked into very many documents
 keeps its seeds. Where seeds lie on neighbouring diagonals, the document's words around them are aligned with the
 item's: a match is worth 1, a mismatch or a gap costs 1. A document is contaminated by an item if the best local
 alignment is worth ``LEAST`` of the item's words (all of them for items of up to ``WHOLE`` words).
@@ -82,6 +82,8 @@ class Items:
         for n in self.sizes:
             number, item, place = self.where[n]
             pair = np.unique(item * len(self.grams[n]) + number)
+            # A gram that no document holds seeds nothing, and must not take the place of one that does.
+            pair = pair[often[n][pair % len(self.grams[n])] > 0]
             of, gram = pair // len(self.grams[n]), pair % len(self.grams[n])
             order = np.lexsort((gram, often[n][gram], of))
             of, gram = of[order], gram[order]
