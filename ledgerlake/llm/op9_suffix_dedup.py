@@ -369,28 +369,27 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for body, copies, spans in zip(batch.column("body").to_pylist(), batch.column("copies").to_pylist(), batch.column("spans").to_pylist()):
+        for body, spans in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist()):
             mark = np.zeros(len(body) + 1, np.int32)
-            if copies > 1 and len(body) >= LENGTH:
-                mark[0] += 1
-                mark[len(body)] -= 1
-            for span in spans or ():
+            for span in spans:
                 mark[span["first"]] += 1
                 mark[span["last"] + LENGTH] -= 1
             gone = np.cumsum(mark)[:-1] > 0
             keep = np.frombuffer(body, np.uint8)[~gone].tobytes()
-            runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
-            rows.append((len(body), len(body) - len(keep), runs, hashlib.sha256(keep).hexdigest()))
-        yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c) for c in zip(*rows)]], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
+            rows.append((len(body) - len(keep), runs, hashlib.sha256(keep).hexdigest()))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), *[pa.array(c) for c in zip(*rows)]], ["key", "cut", "runs", "rest_sha256"])
 
 
 def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     named = docs.select("doc_id", text_key(F.col("text")).alias("key"), body.alias("body"))
-    texts = written(named.groupBy("key").agg(F.first("body").alias("body"), F.count("*").alias("copies")), "suffix-texts")
+    texts = named.groupBy("key").agg(F.first("body").alias("body"), F.count("*").alias("copies"))
+    texts = written(texts.withColumns({"n_bytes": F.octet_length("body").cast("long"), "sha256": F.sha2("body", 256)}), "suffix-texts")
+    long_ = texts.where(F.col("n_bytes") >= LENGTH)
     shape = "key binary, grams array<long>, places array<int>, firsts array<int>, lasts array<int>"
-    found = written(texts.where(F.octet_length("body") >= LENGTH).select("key", "body").mapInArrow(_anchor_rows, shape), "suffix-anchors")
+    found = written(long_.select("key", "body").mapInArrow(_anchor_rows, shape), "suffix-anchors")
     each = found.select("key", F.explode(F.arrays_zip("grams", "places", "firsts", "lasts")).alias("a")).select(
         "key", F.col("a.grams").alias("gram"), F.col("a.places").alias("place"), F.col("a.firsts").alias("first"), F.col("a.lasts").alias("last"))
     often = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
@@ -399,15 +398,21 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     picked = written(open_.groupBy("key", (F.col("n") > crowd).alias("crowded")).agg(F.collect_list(pick).alias("picks"), F.count("*").alias("n")), "suffix-picks")
     total = picked.where("not crowded").agg(F.sum("n")).first()[0] or 0
     tasks = int(total // ANCHORS_PER_TASK) + 1
-    bodies = texts.select("key", "body")
+    # One exchange of the bodies serves the runs, the crowded windows and the cutting; the rest is settled without them.
+    bodies = long_.select("key", "body")
     runs = picked.where("not crowded").select("key", "picks").join(bodies, "key").select("key", "body", "picks").mapInArrow(_runs(tasks), RUN_TYPES)
     spans = runs.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(_settled, "key binary, first int, last int")
     windows = picked.where("crowded").select("key", "picks").join(bodies, "key").select("key", "body", "picks").mapInArrow(_windows, "window long, key binary, first int")
     common = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     spans = spans.unionByName(windows.join(common, "window").select("key", "first", F.col("first").alias("last")))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    done = texts.join(spans, "key", "left").select("key", "body", "copies", "spans").mapInArrow(
-        _removed, "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut = bodies.join(spans, "key").mapInArrow(_removed, "key binary, cut long, runs long, rest_sha256 string")
+    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
+    done = texts.select("key", "n_bytes", "sha256", "copies").join(cut, "key", "left").select(
+        "key", "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("cut", F.lit(0))).alias("n_removed"),
+        F.when(whole, 1).otherwise(F.coalesce("runs", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("rest_sha256", "sha256")).alias("kept_sha256"))
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(written(done, "suffix-results"), "key").drop("key")
 
 
