@@ -40,6 +40,7 @@ LENGTH, GRAM = 400, 32
 CROWD = 20_000
 ANCHORS_PER_TASK = 60_000
 RUN_BYTES = 48 << 20
+SALTS = 16
 
 
 def _hashes(data: np.ndarray, width: int) -> np.ndarray:
@@ -392,8 +393,11 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     found = written(long_.select("key", "body").mapInArrow(_anchor_rows, shape), "suffix-anchors")
     each = found.select("key", F.explode(F.arrays_zip("grams", "places", "firsts", "lasts")).alias("a")).select(
         "key", F.col("a.grams").alias("gram"), F.col("a.places").alias("place"), F.col("a.firsts").alias("first"), F.col("a.lasts").alias("last"))
-    often = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    open_ = each.join(often, "gram")
+    # A gram may stand in a third of all texts: its anchors are told their number over SALTS parts, not in one task.
+    each = each.withColumn("salt", F.pmod(F.hash("key"), F.lit(SALTS)))
+    parts = each.groupBy("gram", "salt").agg(F.count("*").alias("n"))
+    often = parts.groupBy("gram").agg(F.sum("n").alias("n"), F.collect_set("salt").alias("salts")).where("n > 1")
+    open_ = each.join(often.select("gram", "n", F.explode("salts").alias("salt")), ["gram", "salt"])
     pick = F.struct("gram", "place", "first", "last")
     picked = written(open_.groupBy("key", (F.col("n") > crowd).alias("crowded")).agg(F.collect_list(pick).alias("picks"), F.count("*").alias("n")), "suffix-picks")
     total = picked.where("not crowded").agg(F.sum("n")).first()[0] or 0
