@@ -407,8 +407,11 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     runs = picked.where("not crowded").select("key", "picks").join(bodies, "key").select("key", "body", "picks").mapInArrow(_runs(tasks), RUN_TYPES)
     spans = runs.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(_settled, "key binary, first int, last int")
     windows = picked.where("crowded").select("key", "picks").join(bodies, "key").select("key", "body", "picks").mapInArrow(_windows, "window long, key binary, first int")
-    common = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    spans = spans.unionByName(windows.join(common, "window").select("key", "first", F.col("first").alias("last")))
+    # A crowded window may be as common as its gram, so it is salted in the same way.
+    windows = windows.withColumn("salt", F.pmod(F.hash("key"), F.lit(SALTS)))
+    common = windows.groupBy("window", "salt").agg(F.count("*").alias("n")).groupBy("window").agg(
+        F.sum("n").alias("n"), F.collect_set("salt").alias("salts")).where("n > 1").select("window", F.explode("salts").alias("salt"))
+    spans = spans.unionByName(windows.join(common, ["window", "salt"]).select("key", "first", F.col("first").alias("last")))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     cut = bodies.join(spans, "key").mapInArrow(_removed, "key binary, cut long, runs long, rest_sha256 string")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
