@@ -263,24 +263,34 @@ def repeated_windows(contexts: np.ndarray, group: np.ndarray, low: np.ndarray, h
     if len(contexts) < 2:
         return out
     up, down = powers(contexts.shape[1] + 1)
-    sums = np.zeros((contexts.shape[1] + 1, len(contexts)), np.uint64)
-    second = np.zeros_like(sums)
     odd = np.uint64(0x2545F4914F6CDD1D)
     step = np.uint64(1)
-    for i in range(contexts.shape[1]):
-        column = contexts[:, i].astype(np.uint64) + np.uint64(1)
-        sums[i + 1] = sums[i] + column * up[i]
-        second[i + 1] = second[i] * odd + column
     with np.errstate(over="ignore"):
         for _ in range(length):
             step = step * odd
-    for offset in range(before + 1):
-        start = before - offset
+    columns = np.ascontiguousarray(contexts.T)
+    # Two hashes of the bytes before a window's start and before its end; both move on column by column, so that what
+    # is held does not grow with the width.
+    begin, end = (np.zeros((2, len(contexts)), np.uint64) for _ in range(2))
+
+    def take(sums: np.ndarray, i: int) -> None:
+        column = columns[i].astype(np.uint64) + np.uint64(1)
+        sums[0] += column * up[i]
+        sums[1] *= odd
+        sums[1] += column
+
+    for i in range(length):
+        take(end, i)
+    for start in range(before + 1):
+        if start:
+            take(begin, start - 1)
+            take(end, start + length - 1)
+        offset = before - start
         use = np.flatnonzero((low <= offset) & (offset <= high))
         if len(use) < 2:
             continue
-        one = scatter((sums[start + length, use] - sums[start, use]) * down[start]) + group[use].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        two = second[start + length, use] - second[start, use] * step
+        one = scatter((end[0, use] - begin[0, use]) * down[start]) + group[use].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        two = end[1, use] - begin[1, use] * step
         both = scatter(one ^ scatter(two))
         order = np.argsort(both, kind="stable")
         ranked = both[order]
