@@ -22,7 +22,7 @@ def _silver_nav(bank):
     """Two landings; the second run goes on where the first stopped."""
     root = new_folder(bank.spark, "feed-stream")
     lake, landing = Lake(bank.spark, f"{root}/lake"), f"{root}/landing"
-    for part in ("l_linenumber <= 3", "l_linenumber > 3"):
+    for part in ("l_linenumber <= 3", "not coalesce(l_linenumber <= 3, false)"):
         rows = payloads(bank, bank.fx_raw_nav.where(part))
         landed = feed.raw_rows(rows.withColumnRenamed("l_orderkey", "seq"), "mf_scheme", keep=["seq"])
         landed.write.mode("append").json(landing)
@@ -49,7 +49,8 @@ def _post_deposit(bank):
     requests, landing = bank.fx_deposit_request, f"{root}/landing"
     stream = ledger_stream.DepositStream(bank.spark, root, deposit_accounts(bank))
     middle = requests.agg(F.percentile_approx("txn_datetime", 0.5)).first()[0]
-    for part in (F.col("txn_datetime") <= F.lit(middle), F.col("txn_datetime") > F.lit(middle)):
+    early = F.coalesce(F.col("txn_datetime") <= F.lit(middle), F.lit(False))
+    for part in (early, ~early):
         requests.where(part).write.mode("append").parquet(landing)
         _finish(stream.run(landing))
     return stream.posted().select(

@@ -102,6 +102,22 @@ def test_delete_reset_and_gate(spark):
     assert empty(spark, "fact_payment").columns[0] == "payment_id"
 
 
+def test_reset_then_merge_on_a_month_table(spark):
+    lake, keys = Lake(spark, new_folder(spark, "test")), ["txn_id"]
+    rows = empty(spark, "fact_deposit_txn")
+    full = spark.createDataFrame(
+        [(t, "a", dt.datetime(2020, 1, 1), dt.date(2020, 1, 1), D(1), "debit", D(b), "upi", None, None) for t, b in (("t1", 1), ("t1", 5), ("t2", 2))],
+        rows.schema)
+    for keep_existing in (True, False):
+        lake.merge("fact_deposit_txn", full, keys, keep_existing)
+        lake.reset_derived()
+        assert lake.read("fact_deposit_txn").isEmpty()
+        for _ in range(2):
+            lake.merge("fact_deposit_txn", full, keys, keep_existing)
+        assert {(r.txn_id, int(r.running_balance)) for r in lake.read("fact_deposit_txn").collect()} == {("t1", 5), ("t2", 2)}
+        assert lake.read("fact_deposit_txn").count() == 2
+
+
 def test_incremental(spark):
     facts = nav(spark, ("1", "2020-01-02", 1), ("2", "2020-01-09", 1))
     batch = nav(spark, ("1", "2020-01-01", 4), ("1", "2020-01-02", 7), ("1", "2020-01-03", 1), ("3", "2020-01-01", 1), ("2", "2020-01-09", 1))
