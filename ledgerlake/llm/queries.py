@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op7_html, op8_sharding, op9_suffix_dedup
+from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op11_fill_middle, op12_packing, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op7_html, op8_sharding, op9_suffix_dedup
 
 QUERIES = {
     "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_jump_sharding": op8_sharding.op8_jump_sharding,
     "op9_suffix_runs": op9_suffix_dedup.op9_suffix_runs,
     "op10_importance_resampling": op10_quality.op10_importance_resampling,
+    "op11_exception_index": op11_fill_middle.op11_exception_index,
+    "op12_best_fit_packing": op12_packing.op12_best_fit_packing,
 }
 
 ORACLES = {
@@ -23,4 +25,5 @@ ORACLES = {
     "op4_apportioned_mix": op4_mixing.ORACLE,
     "op6_diagonal_voting": op6_license_scan.ORACLE,
     "op8_jump_sharding": op8_sharding.ORACLE,
+    "op11_exception_index": op11_fill_middle.ORACLE,
 }
