@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op11_fill_middle, op12_packing, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op7_html, op8_sharding, op9_suffix_dedup
+from ledgerlake.llm import op1_fingerprint, op2_ngram_join, op10_quality, op11_fill_middle, op12_packing, op13_prefix_trie, op3_url_filter, op4_mixing, op5_decontaminate, op6_license_scan, op7_html, op8_sharding, op9_suffix_dedup
 
 QUERIES = {
     "op1_spot_signatures": op1_fingerprint.op1_spot_signatures,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_importance_resampling": op10_quality.op10_importance_resampling,
     "op11_exception_index": op11_fill_middle.op11_exception_index,
     "op12_best_fit_packing": op12_packing.op12_best_fit_packing,
+    "op13_rollup_trie": op13_prefix_trie.op13_rollup_trie,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op6_diagonal_voting": op6_license_scan.ORACLE,
     "op8_jump_sharding": op8_sharding.ORACLE,
     "op11_exception_index": op11_fill_middle.ORACLE,
+    "op13_rollup_trie": op13_prefix_trie.ORACLE,
 }
