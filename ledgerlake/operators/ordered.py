@@ -1,8 +1,8 @@
 """Ordered per-key computations that stay balanced when one key owns much of the data.
 
 A window partition is one task, so a key with a third of all rows would be one task too. Keys above
-``MAX_GROUP_ROWS`` are therefore cut into slots of their own order (an hour, a day); each slot is a
-window partition, and what earlier slots contribute comes from one small row per slot.
+``MAX_GROUP_ROWS`` are therefore cut into slots, ranges of their own order; each slot is a window partition, and
+what earlier slots contribute comes from one small row per slot.
 """
 
 from __future__ import annotations
@@ -50,6 +50,18 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
     return match(df, F.broadcast(hot), keys, "left_anti"), match(df, F.broadcast(hot), keys, "left_semi")
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Deal rows into ranges of (keys, order); ``_slot`` numbers them, ``_tie`` makes the order total.
+
+    Ranges are cut through a key wherever its rows need it, however many share an hour or a day, and nulls are values
+    like any other. The ranges are kept in reliable storage, so that a repeated task cannot deal them anew.
+    """
+    rows = durable(df.withColumn("_tie", F.xxhash64(*df.columns)))
+    parts = int(rows.count() // max_rows) + 1
+    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in (*keys, *order, "_tie")])
+    return durable(ranged.withColumn("_slot", F.spark_partition_id()))
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value: ``kind`` is sum, count, min, max or last (last skips nulls).
@@ -95,28 +107,40 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, Running],
-    slot: Callable[[], Column],
+    slot: Callable[[], Column] | None,
     hot: DataFrame | None,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add running values over (keys, order); ``slot`` must not decrease along ``order``."""
+    """Add running values over (keys, order).
+
+    Hot keys are cut into ranges of at most about ``max_rows`` rows, or by ``slot`` if it is given; it must not decrease
+    along ``order``.
+    """
     keys, order = list(keys), list(order)
     if hot is None:
         return df.select("*", *[v.over(keys, order).alias(name) for name, v in values.items()])
-
     ordinary, heavy = split_hot(df, keys, hot)
-    cut = keys + ["_slot"]
-    heavy = heavy.withColumn("_slot", slot())
-    totals = heavy.groupBy(*cut).agg(*[v.slot_total(order).alias(f"_t_{name}") for name, v in values.items()])
+    if slot is None:
+        heavy, order = in_ranges(heavy, keys, order, max_rows), [*order, "_tie"]
+    else:
+        heavy = heavy.withColumn("_slot", slot())
+    cut = running_in_slots(heavy, keys, order, values).select(*df.columns, *values)
+    return running(ordinary, keys, [c for c in order if c != "_tie"], values, slot, None).unionByName(cut)
+
+
+def running_in_slots(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Running]) -> DataFrame:
+    """The same for rows with ``_slot``, as :func:`in_ranges` deals them."""
+    cut = [*keys, "_slot"]
+    totals = rows.groupBy(*cut).agg(*[v.slot_total(order).alias(f"_t_{name}") for name, v in values.items()])
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(_BEGIN, -1)
     carries = totals.select(
         *cut, *[v.carried(F.col(f"_t_{name}")).over(earlier).alias(f"_c_{name}") for name, v in values.items()]
     )
-    local = heavy.select("*", *[v.over(cut, order).alias(f"_l_{name}") for name, v in values.items()])
-    merged = match(local, carries, cut, "left").select(
-        *df.columns,
+    local = rows.select("*", *[v.over(cut, order).alias(f"_l_{name}") for name, v in values.items()])
+    return match(local, carries, cut, "left").select(
+        *rows.columns,
         *[v.merge(F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, v in values.items()],
     )
-    return running(ordinary, keys, order, values, slot, None).unionByName(merged)
 
 
 def floored_sum(
@@ -125,17 +149,17 @@ def floored_sum(
     order: Sequence[str],
     value: str,
     name: str,
-    slot: Callable[[], Column],
+    slot: Callable[[], Column] | None,
     hot: DataFrame | None,
-    before: bool = False,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Running sum that is lifted back to zero whenever it would fall below.
 
     Closed form: S minus the lower of zero and the lowest S so far, so two prefix aggregates do it.
     """
     total, lowest = f"_{name}_sum", f"_{name}_low"
-    df = running(df, keys, order, {total: Running("sum", value)}, slot, hot)
-    df = running(df, keys, order, {lowest: Running("min", total)}, slot, hot)
+    df = running(df, keys, order, {total: Running("sum", value)}, slot, hot, max_rows)
+    df = running(df, keys, order, {lowest: Running("min", total)}, slot, hot, max_rows)
     floored = F.col(total) - F.least(F.lit(0), F.col(lowest))
     return df.withColumn(name, floored).drop(total, lowest)
 
@@ -146,17 +170,18 @@ def strictly_increasing(
     order: Sequence[str],
     seconds: str,
     name: str,
-    slot: Callable[[], Column],
+    slot: Callable[[], Column] | None,
     hot: DataFrame | None,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Whole-second times per key, each pushed to at least one second after the one before.
 
     Closed form of t[i] = max(t[i], t[i-1] + 1): position plus the highest (t - position) so far.
     """
     df = df.withColumn("_one", F.lit(1).cast("long"))
-    df = running(df, keys, order, {"_pos": Running("sum", "_one")}, slot, hot)
+    df = running(df, keys, order, {"_pos": Running("sum", "_one")}, slot, hot, max_rows)
     df = df.withColumn("_lead", F.col(seconds) - F.col("_pos"))
-    df = running(df, keys, order, {"_high": Running("max", "_lead")}, slot, hot)
+    df = running(df, keys, order, {"_high": Running("max", "_lead")}, slot, hot, max_rows)
     return df.withColumn(name, F.col("_pos") + F.col("_high")).drop("_one", "_pos", "_lead", "_high")
 
 

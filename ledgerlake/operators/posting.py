@@ -9,8 +9,7 @@ Each ledger is brought to one form. A key has ``room``: what may still be used.
 3. only from the first shortfall on is a sequential walk needed. The window leaves the rows of a key
    together and in order, so the walk streams over Arrow batches with a few scalars of state, and rows
    before a shortfall pass it as whole columns. Everything of a key happens in one shuffle and one sort;
-4. hot keys are cut into slots, ranges of their order. A slot is settled by its own total and by the room it
-   requires; from a key's first slot that falls short on, its rows stream through the walk once.
+4. hot keys are cut into slots, ranges of their order, and all slots are settled in parallel, see ``settlement``.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +28,11 @@ from ..functions.money import (
 )
 from ..functions.text import stable_id
 from ..session import durable
-from .ordered import MAX_GROUP_ROWS, Running, hot_keys, match, running, split_hot
+from .ordered import MAX_GROUP_ROWS, Running, hot_keys, running_in_slots, split_hot
 from .rules import RULES
+from .settlement import ACCEPTED, REFUSED, REPEATED, WALK_ONLY, settle_in_slots
 
 _BEGIN = Window.unboundedPreceding
-REFUSED, ACCEPTED, REPEATED = 0, 1, 2
 DETECT = object()
 
 # Reason codes of the rejection log, then those that only quarantine a request.
@@ -47,14 +45,13 @@ class Ledger:
     """How one kind of request maps onto room, move and need.
 
     ``terms`` turns the request joined with its state row into the same rows plus ``_reason`` (string),
-    ``_opening``, ``_move`` and ``_need`` (long). ``slot`` cuts a hot key along ``order``.
+    ``_opening``, ``_move`` and ``_need`` (long).
     """
 
     fact: str
     prefix: str
     keys: Sequence[str]
     order: Sequence[str]
-    slot: Callable[[], Column]
     terms: Callable[[DataFrame], DataFrame]
     may_post: Callable[[DataFrame], DataFrame] = field(default=lambda state: state)
     refusal_is_fact: bool = False
@@ -106,7 +103,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     retryable.discard(repeats[i])
                 if with_tally:
                     tallies[row] = tally
-        names = [n for n in batch.schema.names if n not in _WALK_ONLY]
+        names = [n for n in batch.schema.names if n not in WALK_ONLY]
         arrays = [column(n) for n in names] + [pa.array(codes), pa.array(rooms)]
         names += ["_code", "_room"]
         if with_tally:
@@ -115,10 +112,6 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-# Columns that nothing needs after the walk.
-_WALK_ONLY = ("_opening", "_need", "_short", "_shorts", "_room", "_paid_in", "_tally", "_tally_before")
-
-
 def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_code`` and ``_room`` (before the request) to every row; keys are small enough for one task.
 
@@ -146,156 +139,24 @@ def settle(moves: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
             (F.col("_paid_sum") - F.least(F.lit(0), F.col("_low"))).alias("_tally"),
             F.coalesce(F.col("_sum_before") - F.least(F.lit(0), F.col("_low_before")), F.col("_paid_in")).alias("_tally_before"),
         )
-    fields = [f for f in walked.schema.fields if f.name not in _WALK_ONLY]
+    fields = [f for f in walked.schema.fields if f.name not in WALK_ONLY]
     fields += [T.StructField("_code", T.IntegerType()), T.StructField("_room", T.LongType())]
     if "_paid" in moves.columns:
         fields.append(T.StructField("_tally", T.LongType()))
     return walked.mapInArrow(_walk, T.StructType(fields))
 
 
-# --- hot keys, slot by slot -----------------------------------------------------------------------
+# --- a second running value of hot keys ------------------------------------------------------------
 
 
-def _in_slots(moves: DataFrame, keys: list[str], order: list[str], max_rows: int) -> DataFrame:
-    """Deal rows into ranges of (keys, order); ``_slot`` numbers them, ``_tie`` makes the order total.
-
-    Ranges are cut through a key wherever its rows need it, however many share an hour or a day, and nulls are values
-    like any other. The ranges are kept in reliable storage, so that a repeated task cannot deal them anew.
-    """
-    rows = durable(moves.withColumn("_tie", F.xxhash64(*moves.columns)))
-    parts = int(rows.count() // max_rows) + 1
-    ranged = rows.repartitionByRange(parts, *[F.col(c) for c in (*keys, *order, "_tie")])
-    return durable(ranged.withColumn("_slot", F.spark_partition_id()))
+def _tallied(settled: DataFrame, keys, order) -> DataFrame:
+    """``_tally`` of settled hot keys, by the same closed form as floored_sum but with an opening value.
 
-
-def _changes(batch: pa.RecordBatch, keys: Sequence[str], last: tuple | None) -> tuple[np.ndarray, tuple]:
-    """Row numbers at which a new key begins, and the key of the last row."""
-    new = np.zeros(batch.num_rows, bool)
-    for key in keys:
-        values = batch.column(batch.schema.get_field_index(key))
-        new[1:] |= pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False).astype(bool)
-    def at(row):
-        return tuple(batch.column(batch.schema.get_field_index(k))[row].as_py() for k in keys)
-    new[0] = last is None or at(0) != last
-    return np.flatnonzero(new), at(batch.num_rows - 1)
-
-
-class _Account:
-    """A key's state while its rows stream by: the room, and the repeated keys whose last try was refused."""
-
-    def __init__(self, room: int):
-        self.room, self.retryable = room, set()
-
-    def take(self, first, need, limited, move, repeat, codes, rooms) -> None:
-        """Settle rows in order. Runs without repeats go by blocks; only a refusal ends a block early."""
-        special = np.flatnonzero(np.array([r is not None for r in repeat]))
-        at, block = 0, 64
-        while at < len(first):
-            after = np.searchsorted(special, at)
-            if after < len(special) and special[after] == at:
-                rooms[at] = self.room
-                if not first[at] and repeat[at] not in self.retryable:
-                    codes[at] = REPEATED
-                elif limited[at] and self.room < need[at]:
-                    codes[at] = REFUSED
-                    self.retryable.add(repeat[at])
-                else:
-                    codes[at] = ACCEPTED
-                    self.room += int(move[at])
-                    self.retryable.discard(repeat[at])
-                at += 1
-                continue
-            end = min(at + block, special[after] if after < len(special) else len(first))
-            live = first[at:end]
-            gain = np.cumsum(np.where(live, move[at:end], 0))
-            room = self.room + np.r_[0, gain[:-1]]
-            short = np.flatnonzero(live & limited[at:end] & (room < need[at:end]))
-            stop = end if not len(short) else at + int(short[0])
-            rooms[at:stop] = room[:stop - at]
-            codes[at:stop] = np.where(live[:stop - at], ACCEPTED, REPEATED)
-            block = block * 2 if not len(short) else 64
-            if stop > at:
-                self.room += int(gain[stop - at - 1])
-            if len(short):
-                rooms[stop], codes[stop] = self.room, REFUSED
-                stop += 1
-            at = stop
-
-
-def _walk_stream(keys: Sequence[str]):
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come key by key in order, from a key's first short slot on; ``_room_in`` is the room it begins with."""
-        account, last = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            def column(name, batch=batch):
-                return batch.column(batch.schema.get_field_index(name))
-            first = column("_first").to_numpy(zero_copy_only=False).astype(bool)
-            limited = np.asarray(column("_need").is_valid())
-            need, move, begin = (column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("_need", "_move", "_room_in"))
-            repeat = column("_repeat").to_pylist()
-            codes, rooms = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64)
-            starts, key = _changes(batch, keys, last)
-            edges = [0, *starts[starts > 0], batch.num_rows]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if a in starts:
-                    account = _Account(int(begin[a]))
-                account.take(first[a:b], need[a:b], limited[a:b], move[a:b], repeat[a:b], codes[a:b], rooms[a:b])
-            last = key
-            names = [n for n in batch.schema.names if n not in (*_WALK_ONLY, "_room_in", "_tie", "_slot")]
-            yield pa.RecordBatch.from_arrays([*[column(n) for n in names], pa.array(codes), pa.array(rooms)], names=[*names, "_code", "_room"])
-
-    return walk
-
-
-def settle_in_slots(moves: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Same answer as :func:`settle` for keys too large for one task, in a constant number of jobs.
-
-    Every slot gets its total move and the room it requires to pass untouched; running totals over one row per slot
-    find each key's first slot that falls short. What comes before is settled slot by slot, in parallel. From that
-    slot on every decision hangs on the one before, so those rows stream once, in order, through a walk whose state
-    is a room and the refused keys that may be tried again.
+    It runs over the ranges in which the rows were settled, however many of them share a day.
     """
-    keys, order = list(keys), list(order)
-    cut, columns = [*keys, "_slot"], moves.columns
-    carried = [c for c in columns if c not in ("_opening", "_need")]
-    rows = _in_slots(moves, keys, order, max_rows)
-    within = Window.partitionBy(*cut).orderBy(*order, "_tie").rowsBetween(_BEGIN, -1)
-    live_move = F.when(F.col("_first"), F.col("_move")).otherwise(F.lit(0))
-    placed = rows.withColumn("_gain", F.coalesce(F.sum(live_move).over(within), F.lit(0)))
-    slots = placed.groupBy(*cut).agg(
-        F.sum(live_move).alias("_total"), F.min("_opening").alias("_begin"),
-        F.max(F.when(F.col("_first"), F.col("_need") - F.col("_gain"))).alias("_required"),
-    )
-    chain = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(_BEGIN, -1)
-    entered = durable(slots.withColumn("_room_in", F.col("_begin") + F.coalesce(F.sum("_total").over(chain), F.lit(0)))
-                      .select(*cut, "_room_in", F.coalesce(F.col("_room_in") < F.col("_required"), F.lit(False)).alias("_broken")))
-    stops = entered.where("_broken").groupBy(*keys).agg(F.min(F.struct("_slot", "_room_in")).alias("_stop"))
-    known = match(entered.drop("_broken"), stops, keys, "left").select(
-        *cut, F.coalesce(F.col("_stop._room_in"), F.col("_room_in")).alias("_stop_room"), "_room_in",
-        F.coalesce(F.col("_slot") >= F.col("_stop._slot"), F.lit(False)).alias("_walked"))
-    known = durable(known)
-    cleared = match(placed, known.where("not _walked").drop("_walked", "_stop_room"), cut, "inner").select(
-        *carried,
-        F.when(F.col("_first"), ACCEPTED).otherwise(REPEATED).alias("_code"),
-        (F.col("_room_in") + F.col("_gain")).alias("_room"),
-    )
-    after = match(rows, known.where("_walked").select(*cut, F.col("_stop_room").alias("_room_in")), cut, "inner")
-    dealt = after.repartition(*keys).sortWithinPartitions(*keys, "_slot", *order, "_tie")
-    # What a second running value needs passes through under another name; it is settled afterwards.
-    stream = dealt.withColumnRenamed("_paid_in", "_paid_kept")
-    fields = [f for f in stream.schema.fields if f.name not in (*_WALK_ONLY, "_room_in", "_tie", "_slot")]
-    fields += [T.StructField("_code", T.IntegerType()), T.StructField("_room", T.LongType())]
-    walked = stream.mapInArrow(_walk_stream(keys), T.StructType(fields)).withColumnRenamed("_paid_kept", "_paid_in")
-    return cleared.unionByName(walked.select(*cleared.columns))
-
-
-def _tallied(settled: DataFrame, keys, order, slot: Callable[[], Column], hot: DataFrame) -> DataFrame:
-    """``_tally`` of settled hot keys, by the same closed form as floored_sum but with an opening value."""
     taken = F.when(F.col("_code") == ACCEPTED, F.col("_paid")).otherwise(F.lit(0))
-    rows = running(settled.withColumn("_taken", taken), keys, order, {"_sum": Running("sum", "_taken")}, slot, hot)
-    rows = running(rows.withColumn("_sum", F.col("_sum") + F.col("_paid_in")), keys, order, {"_low": Running("min", "_sum")}, slot, hot)
+    rows = running_in_slots(settled.withColumn("_taken", taken), keys, [*order, "_tie"], {"_sum": Running("sum", "_taken")})
+    rows = running_in_slots(rows.withColumn("_sum", F.col("_sum") + F.col("_paid_in")), keys, [*order, "_tie"], {"_low": Running("min", "_sum")})
     return rows.withColumn("_tally", F.col("_sum") - F.least(F.lit(0), F.col("_low"))).drop("_taken", "_sum", "_low", "_paid_in")
 
 
@@ -339,12 +200,16 @@ def mark_repeats(requests: DataFrame, ledger: Ledger, state: DataFrame) -> DataF
 
 
 def match_history(requests: DataFrame, ledger: Ledger, history: DataFrame | None) -> DataFrame:
-    """Flag requests whose idempotency key is already a fact: ``_posted`` here, ``_reused_before`` elsewhere."""
+    """Flag requests whose idempotency key is already a fact: ``_posted`` here, ``_reused_before`` elsewhere.
+
+    A column ``accepted`` of ``history`` may say that a key only has an owner so far and may be tried again by it.
+    """
     if history is None or "idempotency_key" not in requests.columns:
         return requests.select("*", F.lit(False).alias("_posted"), F.lit(False).alias("_reused_before"))
     keys = list(ledger.keys)
     past = history.where(F.col("idempotency_key").isNotNull()).select(
-        F.col("idempotency_key").alias("_past_key"), F.struct(*keys).alias("_past_owner")
+        F.col("idempotency_key").alias("_past_key"), F.struct(*keys).alias("_past_owner"),
+        (F.col("accepted") if "accepted" in history.columns else F.lit(True)).alias("_past_fact"),
     )
     alone = F.concat_ws("|", F.lit("\u0000"), *[F.col(c).cast("string") for c in ledger.order])
     joined = requests.withColumn("_join_key", F.coalesce("idempotency_key", alone)).join(
@@ -353,7 +218,7 @@ def match_history(requests: DataFrame, ledger: Ledger, history: DataFrame | None
     found, same = F.col("_past_key").isNotNull(), F.col("_past_owner") == F.struct(*keys)
     return joined.select(
         *requests.columns,
-        F.coalesce(found & same, F.lit(False)).alias("_posted"),
+        F.coalesce(found & same & F.col("_past_fact"), F.lit(False)).alias("_posted"),
         F.coalesce(found & ~same, F.lit(False)).alias("_reused_before"),
     )
 
@@ -391,7 +256,8 @@ def post(
         heavy_moves = _with_terms(heavy.join(F.broadcast(few), keys, "left"), ledger)
         slotted = settle_in_slots(heavy_moves, keys, order, max_rows)
         if "_paid" in heavy_moves.columns:
-            slotted = _tallied(durable(slotted), keys, order, ledger.slot, hot)
+            slotted = _tallied(durable(slotted), keys, order)
+        slotted = slotted.drop("_slot", "_tie")
         settled = settle(_with_terms(ordinary.join(state, keys, "left"), ledger), keys, order).unionByName(slotted)
     settled = settled.unionByName(unplaced.select(*settled.columns))
     identity = [F.lit(ledger.fact), *[F.col(k) for k in keys]]
@@ -467,10 +333,6 @@ def _finish(posted: DataFrame, requests: DataFrame, reason: Column, **extra: Col
     )
 
 
-def _hour(column: str) -> Callable[[], Column]:
-    return lambda: F.date_trunc("hour", F.col(column))
-
-
 # --- the five ledgers -----------------------------------------------------------------------------
 
 
@@ -492,7 +354,7 @@ def _deposit_terms(joined: DataFrame) -> DataFrame:
 
 
 DEPOSIT = Ledger(
-    "fact_deposit_txn", "DTXN_", ("account_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
+    "fact_deposit_txn", "DTXN_", ("account_id",), ("txn_datetime", "request_id"),
     _deposit_terms, lambda state: state.where("status = 'active'"),
     state_only=("current_balance", "min_balance", "overdraft_limit", "status"), required=("dr_cr",), optional=("channel",),
 )
@@ -526,7 +388,7 @@ def _card_terms(joined: DataFrame) -> DataFrame:
 
 
 CARD = Ledger(
-    "fact_card_txn", "CTXN_", ("card_id",), ("txn_datetime", "request_id"), _hour("txn_datetime"),
+    "fact_card_txn", "CTXN_", ("card_id",), ("txn_datetime", "request_id"),
     _card_terms, refusal_is_fact=True, state_only=("credit_limit", "current_statement_balance", "status"),
     required=("txn_type",), optional=("entry_mode",),
 )
@@ -568,7 +430,7 @@ def _payment_terms(joined: DataFrame) -> DataFrame:
 
 
 PAYMENT = Ledger(
-    "fact_payment", "PAY_", ("from_account_id",), ("payment_datetime", "request_id"), _hour("payment_datetime"),
+    "fact_payment", "PAY_", ("from_account_id",), ("payment_datetime", "request_id"),
     _payment_terms, lambda state: state.where("status = 'active' and account_type in ('deposit', 'card')"),
     state_only=("balance", "min_balance", "overdraft_limit", "deposit_type", "credit_limit", "status"), optional=("rail", "beneficiary_type"),
 )
@@ -628,7 +490,7 @@ def _loan_terms(joined: DataFrame) -> DataFrame:
 
 def loan_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
-        "fact_loan_txn", "LTXN_", ("loan_id",), tuple(order), lambda: F.col("txn_date"), _loan_terms,
+        "fact_loan_txn", "LTXN_", ("loan_id",), tuple(order), _loan_terms,
         lambda state: state.where("status not in ('closed', 'written_off')"),
         state_only=("outstanding_principal", "status"), required=("txn_type",), numbers=("principal_paid",),
     )
@@ -669,7 +531,7 @@ def _fund_terms(joined: DataFrame) -> DataFrame:
 
 def fund_ledger(order: Sequence[str]) -> Ledger:
     return Ledger(
-        "fact_mf_transaction", "MFTXN_", ("folio_id", "scheme_code"), tuple(order), lambda: F.col("txn_date"), _fund_terms,
+        "fact_mf_transaction", "MFTXN_", ("folio_id", "scheme_code"), tuple(order), _fund_terms,
         state_only=("held_before", "invested_before", "folio_status"), required=("txn_type",),
     )
 

@@ -138,7 +138,7 @@ def _running_balance(bank):
     moves = requests.withColumn("_move", F.when(F.col("dr_cr") == "debit", -amount).otherwise(amount))
     summed = ordered.running(
         moves, ["account_id"], ["txn_datetime", "request_id"], {"_sum": ordered.Running("sum", "_move")},
-        lambda: F.date_trunc("hour", "txn_datetime"), hot,
+        None, hot,
     )
     joined = summed.join(bank.fx_account.select("account_id", "opening_balance"), "account_id", "left")
     balance = from_cents(F.coalesce(cents(F.col("opening_balance")), F.lit(0)) + F.col("_sum"))
@@ -159,7 +159,7 @@ def _floored(bank):
     hot = ordered.hot_keys(requests, keys)
     amount = cents(F.col("amount"))
     deltas = requests.withColumn("_delta", F.when(F.col("txn_type") == "redemption", -amount).otherwise(amount))
-    summed = ordered.floored_sum(deltas, keys, FUND_ORDER, "_delta", "_held", lambda: F.col("txn_date"), hot)
+    summed = ordered.floored_sum(deltas, keys, FUND_ORDER, "_delta", "_held", None, hot)
     return summed.select(*keys, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dbl(from_cents(F.col("_held")), "invested"))
 
 
@@ -179,7 +179,7 @@ def _strict(bank):
     seconds = F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("long") * 86400 + F.hour(at) * 3600
     rows = requests.withColumn("_t", seconds)
     strict = ordered.strictly_increasing(
-        rows, ["account_id"], ["txn_datetime", "request_id"], "_t", "strict_second", lambda: F.date_trunc("hour", "txn_datetime"), hot
+        rows, ["account_id"], ["txn_datetime", "request_id"], "_t", "strict_second", None, hot
     )
     return strict.select("account_id", "request_id", "strict_second")
 

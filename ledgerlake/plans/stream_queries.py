@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 from ..sources import feed
 from ..sources.tables import Lake
-from ..streaming import feed_stream, ledger_stream
+from ..operators import late
+from ..streaming import account_state, feed_stream, key_index, ledger_stream
 from .feed_queries import SILVER_SQL, payloads
 from .posting_queries import DEPOSIT_SQL, DEPOSIT_VIEWS, deposit_accounts, deposits_with_replays
 from .registry import dbl, query, sql_over
@@ -41,18 +42,63 @@ def _dedupe(bank):
     return bank.spark.read.parquet(f"{root}/kept").select("account_id", "idempotency_key", dbl("amount"))
 
 
-@query("stream_post_deposit", sql_over(DEPOSIT_VIEWS, DEPOSIT_SQL + """
-SELECT request_id, account_id, CAST(amount AS DOUBLE) AS amount, dr_cr, outcome, reason_code, CAST(running_balance AS DOUBLE) AS running_balance FROM dep_out"""))
-def _post_deposit(bank):
-    """The requests land in two parts of event time; the result is that of one batch."""
-    root = new_folder(bank.spark, "deposit-stream")
+@query("stream_dedupe_unbounded", sql_over("fx_deposit_request fx_deposit_replay", """
+SELECT DISTINCT account_id, idempotency_key, CAST(amount AS DOUBLE) AS amount FROM (SELECT * FROM fx_deposit_request UNION ALL SELECT * FROM fx_deposit_replay)""".strip()))
+def _dedupe_unbounded(bank):
+    """The latest third lands first and the repeats last: every first use counts, however old, and no repeat."""
+    root = new_folder(bank.spark, "key-stream")
     requests, landing = bank.fx_deposit_request, f"{root}/landing"
-    stream = ledger_stream.DepositStream(bank.spark, root, deposit_accounts(bank))
-    middle = requests.agg(F.percentile_approx("txn_datetime", 0.5)).first()[0]
-    early = F.coalesce(F.col("txn_datetime") <= F.lit(middle), F.lit(False))
-    for part in (early, ~early):
-        requests.where(part).write.mode("append").parquet(landing)
-        _finish(stream.run(landing))
+    dedupe = key_index.UnboundedDedupe(
+        bank.spark, root, requests.schema, ["account_id", "idempotency_key"], ["txn_datetime", "request_id"])
+    first, second = requests.agg(F.percentile_approx("txn_datetime", [0.33, 0.67])).first()[0]
+    at = F.col("txn_datetime")
+    parts = [requests.where(F.coalesce(at > second, F.lit(False))), requests.where((at > first) & (at <= second)),
+             requests.where(~F.coalesce(at > first, F.lit(False))), bank.fx_deposit_replay]
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        _finish(dedupe.run(landing))
+    return dedupe.kept().select("account_id", "idempotency_key", dbl("amount"))
+
+
+DEPOSIT_RESULT = """
+SELECT request_id, account_id, CAST(amount AS DOUBLE) AS amount, dr_cr, outcome, reason_code, CAST(running_balance AS DOUBLE) AS running_balance FROM dep_out"""
+
+
+def landed_in_parts(bank, name: str, parts: list) -> account_state.StatefulDepositStream:
+    """A stream of deposits that has taken in ``parts``, one landing after the other."""
+    root = new_folder(bank.spark, name)
+    stream = account_state.StatefulDepositStream(bank.spark, root, deposit_accounts(bank))
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/landing")
+        _finish(stream.run(f"{root}/landing"))
+    return stream
+
+
+def _thirds(requests) -> list:
+    first, second = requests.agg(F.percentile_approx("txn_datetime", [0.33, 0.67])).first()[0]
+    at = F.col("txn_datetime")
+    middle = F.coalesce((at > first) & (at <= second), F.lit(False))
+    early = F.coalesce(at <= first, F.lit(False))
+    return [requests.where(early), requests.where(middle), requests.where(~early & ~middle)]
+
+
+@query("stream_post_deposit", sql_over(DEPOSIT_VIEWS, DEPOSIT_SQL + DEPOSIT_RESULT))
+def _post_deposit(bank):
+    """The requests land in three parts of event time; the result is that of one batch."""
+    stream = landed_in_parts(bank, "deposit-stream", _thirds(bank.fx_deposit_request))
     return stream.posted().select(
         "request_id", "account_id", dbl("amount"), "dr_cr", "outcome", "reason_code", dbl("running_balance")
     )
+
+
+@query("late_requests", sql_over(DEPOSIT_VIEWS, DEPOSIT_SQL + """
+SELECT request_id, account_id, request_id % 7 = 0 AS back_dated, outcome, reason_code, CAST(running_balance AS DOUBLE) AS running_balance FROM dep_out"""))
+def _late_requests(bank):
+    """Every seventh request lands after all others. What the stream calls late is settled again: as if all had been in time."""
+    requests = bank.fx_deposit_request
+    behind = F.col("request_id") % 7 == 0
+    stream = landed_in_parts(bank, "late-stream", [*_thirds(requests.where(~behind)), requests.where(behind)])
+    posted = stream.posted().where("outcome <> 'late'")
+    redone = late.resettle(posted, stream.late(), deposit_accounts(bank))
+    done = late.replaced(posted, redone)
+    return done.select("request_id", "account_id", behind.alias("back_dated"), "outcome", "reason_code", dbl("running_balance"))

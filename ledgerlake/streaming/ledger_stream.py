@@ -1,4 +1,4 @@
-"""Deposit requests as a stream: repeats dropped, movements posted against carried balances."""
+"""Deposit requests as a stream of landed files; repeats within a time span dropped."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import posting
-
 REQUESTS = (
     "request_id bigint, account_id bigint, txn_datetime timestamp_ntz, amount decimal(18,2), dr_cr string, channel string, "
     "idempotency_key string"
@@ -21,8 +19,8 @@ def read_requests(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def first_of_key(requests: DataFrame, time: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """Drop repeats that arrive within ``delay``. The state holds keys no longer than that; repeats from
-    further back are caught when the batch is matched with the facts."""
+    """Drop repeats that arrive within ``delay``. The state holds keys no longer than that, and rows older than the
+    watermark are dropped unseen: where neither may happen, see ``key_index``."""
     timed = requests.withColumn("_event_time", F.col(time).cast("timestamp"))
     return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
@@ -32,71 +30,3 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
         rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
-
-
-class DepositStream:
-    """Posts micro-batches of deposit requests.
-
-    Below ``root``, every batch owns the folders ``posted/batch_id=N`` and ``balances/batch_id=N``; a batch
-    that runs again overwrites exactly its own. Balances are a change log: the state of an account is its
-    entry of the highest earlier batch.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, accounts: DataFrame):
-        self.spark = spark
-        self.root = root
-        self.accounts = accounts
-
-    def _log(self, name: str, before: int) -> DataFrame | None:
-        # Batch 0 has nothing before it; every later batch follows one that wrote its folders.
-        if before == 0:
-            return None
-        return self.spark.read.parquet(f"{self.root}/{name}").where(F.col("batch_id") < before)
-
-    def balances(self, before: int) -> DataFrame:
-        """Accounts with their balance and the time of their last posting, as of the batches before ``before``."""
-        log = self._log("balances", before)
-        if log is None:
-            return self.accounts.withColumn("last_at", F.lit(None).cast("timestamp_ntz"))
-        last = log.groupBy("account_id").agg(F.max(F.struct("batch_id", "balance", "last_at")).alias("_s"))
-        joined = self.accounts.join(last, "account_id", "left")
-        return joined.withColumn("current_balance", F.coalesce("_s.balance", "current_balance")).select(
-            *self.accounts.columns, F.col("_s.last_at").alias("last_at")
-        )
-
-    def post_batch(self, batch: DataFrame, batch_id: int) -> None:
-        accounts = self.balances(batch_id)
-        history = self._log("posted", batch_id)
-        if history is not None:
-            history = history.where("outcome = 'accepted'").select("account_id", "idempotency_key")
-        # A request older than what its account has already posted cannot be put in order any more. A replay of
-        # an accepted key is no such case: it is answered, not posted.
-        marked = batch.join(accounts.select("account_id", "last_at"), "account_id", "left")
-        is_late = F.coalesce(F.col("txn_datetime") < F.col("last_at"), F.lit(False))
-        if history is not None:
-            known = history.where("idempotency_key is not null").withColumn("_known", F.lit(True))
-            marked = marked.join(known, ["account_id", "idempotency_key"], "left")
-            is_late = is_late & F.col("_known").isNull()
-        marked = marked.withColumn("_late", is_late)
-        in_time = marked.where("not _late").select(*batch.columns)
-        posted = posting.post_deposit_txn(in_time, accounts, history)
-        late = marked.where("_late").select(
-            *batch.columns, F.lit(None).cast("string").alias("txn_id"), F.lit("late").alias("outcome"),
-            F.lit(None).cast("string").alias("reason_code"), F.lit(None).cast("decimal(18,2)").alias("running_balance"),
-        )
-        posted.unionByName(late).write.mode("overwrite").parquet(f"{self.root}/posted/batch_id={batch_id}")
-        stored = self.spark.read.parquet(f"{self.root}/posted/batch_id={batch_id}").where("outcome = 'accepted'")
-        changed = stored.groupBy("account_id").agg(
-            F.max(F.struct("txn_datetime", "request_id", "running_balance")).alias("_s")
-        ).select("account_id", F.col("_s.running_balance").alias("balance"), F.col("_s.txn_datetime").alias("last_at"))
-        changed.write.mode("overwrite").parquet(f"{self.root}/balances/batch_id={batch_id}")
-
-    def run(self, landing: str) -> StreamingQuery:
-        """Post every landed file not seen before, then stop."""
-        return (
-            read_requests(self.spark, landing).writeStream.foreachBatch(self.post_batch)
-            .option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start()
-        )
-
-    def posted(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/posted")
