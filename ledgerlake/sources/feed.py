@@ -31,11 +31,12 @@ def raw_rows(payloads: DataFrame, endpoint: str, keep: Sequence[str] = ()) -> Da
 
 
 def latest_raw(bronze: DataFrame) -> DataFrame:
-    """Newest response per scheme. Only ids are grouped; the payload text moves once, if at all."""
+    """Newest response per scheme, once, however often it was landed. Only ids are grouped before the payload moves."""
     newest = bronze.where("endpoint = 'mf_scheme'").groupBy("scheme_code").agg(
         F.max(F.struct("fetched_at", "raw_id"))["raw_id"].alias("raw_id")
     )
-    return bronze.join(newest.select("raw_id"), "raw_id", "left_semi")
+    # Rows with one id are equal: the id is a hash of all they hold.
+    return bronze.join(newest.select("raw_id"), "raw_id", "left_semi").dropDuplicates(["raw_id"])
 
 
 def parse_raw(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +100,7 @@ def orphan_flag(rows: DataFrame, schemes: DataFrame) -> DataFrame:
 
 
 def quarantined_orphans(orphans: DataFrame) -> DataFrame:
-    reason = F.concat(F.lit("scheme_code "), "scheme_code", F.lit(" not present in silver.dim_mf_scheme (anti-join)"))
+    reason = F.concat(F.lit("scheme_code "), "scheme_code", F.lit(" not present among the known schemes"))
     payload = F.to_json(F.struct("scheme_code", "nav_date", "nav_value"))
     return _quarantine(orphans, "silver.fact_mf_nav", [F.lit("orphan"), F.col("scheme_code"), F.col("nav_date")], payload, reason)
 
@@ -128,7 +129,8 @@ def scheme_rows(meta: DataFrame) -> DataFrame:
 
 def quarantined_schemes(meta: DataFrame) -> DataFrame:
     body = F.to_json(F.struct(*meta.columns))
-    reason = F.concat(F.lit("meta missing required field(s): scheme_code/scheme_name/fund_house in "), body)
+    lacking = F.array_compact(F.array(*[F.when(missing(F.col(c)), c) for c in ("scheme_code", "scheme_name", "fund_house")]))
+    reason = F.concat(F.lit("scheme without "), F.array_join(lacking, ", "))
     return _quarantine(meta.where(_incomplete()), "silver.dim_mf_scheme", [body], body, reason)
 
 
