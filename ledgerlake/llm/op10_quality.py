@@ -64,7 +64,9 @@ def ngrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
         said = np.flatnonzero(same)
         buckets.append(np.full(len(said), BUCKETS - 1))
         of.append(words.of[said])
-    pair = np.unique(np.concatenate(of) * BUCKETS + np.concatenate(buckets))
+    pair = np.concatenate(of) * BUCKETS + np.concatenate(buckets)
+    pair.sort()
+    pair = pair[np.append(True, pair[1:] != pair[:-1])] if len(pair) else pair
     return pair // BUCKETS, pair % BUCKETS
 
 
