@@ -249,6 +249,40 @@ def test_quality_odd_rows(spark, odd):
     assert op10_quality.kept(odd.limit(0), labels).count() == 0
 
 
+def test_quality_models_by_brute_force(spark, odd):
+    """Counts, ratios and weights against loops over Python sets."""
+    noise = random.Random(4)
+    texts = [" ".join(noise.choices(["aa", "bb", "toxicword", "dd", "Eeeee", "é!"], [9, 9, 2, 9, 3, 1], k=noise.randint(0, 30))) for _ in range(150)] + [None, ""]
+    docs = spark.createDataFrame([(f"id-{i}", t) for i, t in enumerate(texts)], "doc_id string, text string").repartition(3)
+    labels = spark.createDataFrame([(f"id-{i}", int("toxicword" not in (t or "")), 0) for i, t in enumerate(texts) if i % 2], "doc_id string, quality int, toxic int")
+    good, bad = op10_quality.labelled(labels)
+    assert (len(good), len(bad)) == (sum("toxicword" not in (t or "") for t in texts[1::2]), sum("toxicword" in (t or "") for t in texts[1::2]))
+
+    def buckets(text):
+        import pyarrow as pa
+
+        for _, _, found in op10_quality.chunks(pa.array([text]), marks=True):
+            return set(op10_quality.ngrams(found)[1].tolist())
+        return set()
+
+    sets = [buckets(t) for t in texts]
+    target = [s for i, s in enumerate(sets) if i % 2 and "toxicword" not in (texts[i] or "")]
+    raw_count, target_count = collections.Counter(b for s in sets for b in s), collections.Counter(b for s in target for b in s)
+    raw, hit, documents, targets = op10_quality.models(docs, good)
+    assert (documents, targets) == (len(texts), len(target))
+    for b, n in raw_count.items():
+        assert (raw[b], hit[b]) == ((n, target_count[b]) if n >= op10_quality.SURE ** 2 else (0, 0))
+    ratio = op10_quality.ratios(raw, hit, documents, targets)
+    for b in np.flatnonzero(raw):
+        expected = raw[b] * targets / documents
+        certain = expected - hit[b] >= op10_quality.SURE * expected ** 0.5 and hit[b] <= op10_quality.LESS * expected
+        assert ratio[b] == pytest.approx(np.log((hit[b] + 1) / (expected + 1)) if certain else 0.0, abs=1e-6)
+    assert (ratio < 0).any()
+    for row in op10_quality.weights(docs, ratio).collect():
+        mine = buckets(row.text)
+        assert row.log_weight == pytest.approx(sum(float(ratio[b]) for b in mine) / max(len(mine), 1) ** 0.5, abs=1e-5)
+
+
 def test_pipeline_stages(spark, odd):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     at = docs
