@@ -270,7 +270,8 @@ def place(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         raise AssertionError("the plan is larger than its bound")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    ranked = stored.join(starts, ["length", "part"]).select(*rows.columns, (F.col("_start") + F.col("within")).alias("rank"))
+    # Both sides grow with the input: the counts are not to be broadcast, however small they look at first.
+    ranked = stored.join(starts.hint("merge"), ["length", "part"]).select(*rows.columns, (F.col("_start") + F.col("within")).alias("rank"))
     return ranked.mapInArrow(_slots(segments), T.StructType(fields))
 
 
