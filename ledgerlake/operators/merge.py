@@ -27,6 +27,17 @@ def apply_status_changes(rows: DataFrame, changes: DataFrame, key: str, status:
     ).drop("new_status")
 
 
+def finalize(rows: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Rows with the columns of ``changes`` (key, status and whatever goes with it) in place of their own, where it has the key.
+
+    Of several changes for a key the largest counts, so the result hangs on no order.
+    """
+    new = [c for c in changes.columns if c != key]
+    one = changes.groupBy(key).agg(F.max(F.struct(*new)).alias("_new"))
+    joined = rows.join(one, key, "left")
+    return joined.withColumns({c: F.coalesce(f"_new.{c}", c) for c in new}).select(*rows.columns)
+
+
 def card_status_after(account_status: Column) -> Column:
     """Card status that follows from a no longer active account."""
     return F.when(account_status == "closed", "blocked").when(account_status != "active", "expired")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.money import (
-    MONEY, cents, from_cents, from_unit_ticks, market_value, unit_ticks, units_for,
+    MONEY, cents, from_cents, from_unit_ticks, interchange_fee, market_value, reward_points, unit_ticks, units_for,
 )
 from ..functions.text import stable_id
 from ..session import durable
@@ -398,7 +398,8 @@ def post_card_txn(requests: DataFrame, cards: DataFrame, history=None, hot=DETEC
     """Card transactions against a credit limit; a declined one is a fact too.
 
     ``cards``: card_id, credit_limit, current_statement_balance, status. Adds outcome, reason_code, txn_id,
-    txn_status (approved or declined, null when no fact exists) and statement_balance after it.
+    txn_status (approved or declined, null when no fact exists), statement_balance after it, and interchange_fee and
+    reward_points of an approved purchase.
     """
     state = cards.select("card_id", "credit_limit", "current_statement_balance", "status")
     posted = post(requests, state, CARD, history, hot, max_rows)
@@ -406,7 +407,11 @@ def post_card_txn(requests: DataFrame, cards: DataFrame, history=None, hot=DETEC
         (F.col("outcome") == "rejected") & ~F.coalesce(F.col("_reason") == "FK_NOT_FOUND", F.lit(False)), "declined"
     )
     balance = F.when(F.col("outcome") == "accepted", from_cents(F.col("_limit") - _room_after()))
-    return _finish(posted, requests, F.lit("LIMIT_EXCEEDED"), txn_status=status, statement_balance=balance)
+    done, kind = F.col("outcome") == "accepted", F.col("txn_type")
+    return _finish(
+        posted, requests, F.lit("LIMIT_EXCEEDED"), txn_status=status, statement_balance=balance,
+        interchange_fee=F.when(done, interchange_fee(F.col("amount"), kind)), reward_points=F.when(done, reward_points(F.col("amount"), kind)),
+    )
 
 
 def _payment_terms(joined: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import merge
-from ..operators.quality import duplicate_keys
+from ..operators.quality import duplicate_keys, stacked
 from ..session import new_folder
 from ..sources import feed, responses
 from ..sources.calendar import dim_date
@@ -385,6 +385,31 @@ def _status_changes(bank):
     return merge.apply_status_changes(cards, changes, "account_id").select("card_id", "old_status", "status")
 
 
+@query("finalize_statuses", sql_over("fx_account fx_card fx_loan fx_folio fx_order_deposit", """
+last_seen AS (SELECT account_id, max(CAST(txn_datetime AS DATE)) AS d FROM fx_order_deposit GROUP BY account_id)
+SELECT 'dim_account' AS table_name, a.account_id AS id, a.status, CASE WHEN a.status = 'closed' THEN l.d END AS close_date FROM fx_account a LEFT JOIN last_seen l ON l.account_id = a.account_id
+UNION ALL SELECT 'card_master', c.card_id, CASE WHEN a.status = 'closed' THEN 'blocked' WHEN a.status <> 'active' THEN 'expired' ELSE 'active' END, NULL FROM fx_card c LEFT JOIN fx_account a ON a.account_id = c.account_id
+UNION ALL SELECT 'loan_account', loan_id, status, NULL FROM fx_loan
+UNION ALL SELECT 'mf_folio', folio_id, status, NULL FROM fx_folio"""))
+def _finalize(bank):
+    """Tables whose rows are all active get the status that each is meant to end with."""
+    active, no_date = F.lit("active").alias("status"), F.lit(None).cast("date").alias("close_date")
+    ended = bank.fx_account.where("status <> 'active'")
+    last = bank.fx_order_deposit.groupBy("account_id").agg(F.max(F.col("txn_datetime").cast("date")).alias("_d"))
+    closing = ended.join(last, "account_id", "left").select("account_id", "status", F.when(F.col("status") == "closed", F.col("_d")).alias("close_date"))
+    cards = bank.fx_card.join(ended.select("account_id", F.col("status").alias("_s")), "account_id").select(
+        "card_id", merge.card_status_after(F.col("_s")).alias("status"))
+    done = {
+        "dim_account": (merge.finalize(bank.fx_account.select("account_id", active, no_date), closing, "account_id"), "account_id"),
+        "card_master": (merge.finalize(bank.fx_card.select("card_id", active), cards, "card_id"), "card_id"),
+        "loan_account": (merge.finalize(bank.fx_loan.select("loan_id", active), bank.fx_loan.where("status <> 'active'").select("loan_id", "status"), "loan_id"), "loan_id"),
+        "mf_folio": (merge.finalize(bank.fx_folio.select("folio_id", active), bank.fx_folio.where("status <> 'active'").select("folio_id", "status"), "folio_id"), "folio_id"),
+    }
+    parts = [rows.select(F.lit(name).alias("table_name"), F.col(key).alias("id"), "status", "close_date" if "close_date" in rows.columns else no_date)
+             for name, (rows, key) in done.items()]
+    return stacked(parts)
+
+
 # --- incremental ----------------------------------------------------------------------------------
 
 # On file: the first load up to the end of 1998, one scheme complete, one scheme not at all.
@@ -467,6 +492,11 @@ SELECT scheme_code, l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(try_str
 FROM fixed"""))
 def _apply_corrections(bank):
     """Bad dates get the ship date back, missing prices a value; zero prices stay in quarantine."""
+    mended, _ = feed.apply_corrections(*_bad_and_fixes(bank))
+    return mended.select("scheme_code", *LINE, "nav_date", dbl("nav_value"), "problem")
+
+
+def _bad_and_fixes(bank: Bank) -> tuple[DataFrame, DataFrame]:
     bad = checked(bank).where("problem is not null")
     bad = bad.withColumn("quarantine_id", F.sha2(F.concat_ws("|", "scheme_code", *LINE), 256))
     true_date = bank.lineitem.select(*LINE, F.date_format("l_shipdate", "dd-MM-yyyy").alias("_ship"))
@@ -479,5 +509,30 @@ def _apply_corrections(bank):
         "quarantine_id", F.col("_fix.f").alias("field_corrected"), F.col("_fix.v").alias("new_value"),
         F.lit("2002-01-01 00:00:00").cast("timestamp_ntz").alias("corrected_at"), F.lit("steward").alias("corrected_by"),
     )
-    mended, _ = feed.apply_corrections(bad.drop("nav_date", "nav_value", "problem"), corrections)
-    return mended.select("scheme_code", *LINE, "nav_date", dbl("nav_value"), "problem")
+    return bad.drop("nav_date", "nav_value", "problem"), corrections
+
+
+@query("corrections_to_silver", sql_over("fx_raw_nav", NAV_SQL + """,
+bad AS (SELECT n.*, n.nav_date IS NULL AS is_bad_date FROM nav_cast n WHERE nav_date IS NULL OR v IS NULL OR v <= 0),
+fixed AS (SELECT b.scheme_code, b.l_orderkey, b.l_linenumber, b.l_partkey, b.l_suppkey, is_bad_date, b.nav AS old_nav,
+    CASE WHEN b.is_bad_date THEN CAST(l.l_shipdate AS DATE) ELSE b.nav_date END AS nav_date,
+    TRY_CAST(CASE WHEN b.nav = 'N.A.' AND NOT b.is_bad_date THEN CAST(10 + l.l_linenumber AS VARCHAR) || '.25' ELSE b.nav END AS DECIMAL(14,5)) AS v
+  FROM bad b JOIN lineitem l ON l.l_orderkey = b.l_orderkey AND l.l_linenumber = b.l_linenumber AND l.l_partkey = b.l_partkey AND l.l_suppkey = b.l_suppkey),
+sound AS (SELECT scheme_code, nav_date, v FROM (SELECT *, row_number() OVER (PARTITION BY scheme_code, nav_date ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
+  FROM fixed WHERE v > 0 AND nav_date IS NOT NULL) WHERE rn = 1)
+SELECT 'silver' AS kind, scheme_code, nav_date, CAST(nav_value AS DOUBLE) AS nav_value FROM nav_clean
+UNION ALL SELECT 'silver', scheme_code, nav_date, CAST(v AS DOUBLE) FROM sound s WHERE NOT EXISTS (SELECT 1 FROM nav_clean n WHERE n.scheme_code = s.scheme_code AND n.nav_date = s.nav_date)
+UNION ALL SELECT 'log ' || CASE WHEN is_bad_date THEN 'date' ELSE 'nav' END, scheme_code, NULL, CAST(count(*) AS DOUBLE) FROM fixed WHERE is_bad_date OR old_nav = 'N.A.' GROUP BY 1, 2"""))
+def _corrections_to_silver(bank):
+    """Silver after the corrected rows have been taken in, and how many corrections the log holds per scheme."""
+    lake = Lake(bank.spark, new_folder(bank.spark, "corrections"))
+    lake.merge("fact_mf_nav", prices(bank), ["scheme_code", "nav_date"], keep_existing=True)
+    bad, fixes = _bad_and_fixes(bank)
+    bad, fixes = lake.staged("bad", bad), lake.staged("fixes", fixes)
+    for _ in range(2):  # a second run adds nothing
+        feed.store_corrections(lake, bad, fixes, LINE)
+    silver = lake.read("fact_mf_nav").select(F.lit("silver").alias("kind"), "scheme_code", "nav_date", dbl("nav_value"))
+    log = lake.read("dq_correction_log").join(bad.select("quarantine_id", "scheme_code"), "quarantine_id")
+    counts = log.groupBy("scheme_code", "field_corrected").agg(F.count(F.lit(1)).cast("double").alias("nav_value"))
+    return silver.unionByName(counts.select(
+        F.concat(F.lit("log "), "field_corrected").alias("kind"), "scheme_code", F.lit(None).cast("date").alias("nav_date"), "nav_value"))

@@ -163,3 +163,10 @@ def apply_corrections(quarantined: DataFrame, corrections: DataFrame) -> tuple[D
     for name in ("date", "nav"):
         mended = mended.withColumn(name, F.coalesce(F.col(f"_{name}"), F.col(name)))
     return checked_prices(mended.drop("_date", "_nav")), log
+
+
+def store_corrections(lake, quarantined: DataFrame, corrections: DataFrame, order: Sequence[str]) -> None:
+    """Apply corrections to a lake: the log is kept, rows that are now sound go to silver unless their day is on file."""
+    mended, log = apply_corrections(quarantined, corrections)
+    lake.merge("dq_correction_log", log, ["correction_id"], keep_existing=True)
+    lake.merge("fact_mf_nav", clean_prices(lake.staged("mended", mended), order), ["scheme_code", "nav_date"], keep_existing=True)
