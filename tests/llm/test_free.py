@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import random
 import re
 
@@ -212,6 +213,57 @@ def test_template_slots(spark):
     assert {r.text for r in op7_html.extract(pages).collect()} == {f"own {i}" for i in range(6)}
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="no-sidebar"><article><p>The text</p></article></body>', '<div class="content with-sidebar"><article><p>The text</p></article><nav>x</nav></div>',
+    '<article class="review"><p>The text</p></article><div class="sidebar">s</div>', '<article title="the hidden valley"><p>The text</p></article>',
+    "<article></article><main>The text</main>", '<form id="all"><nav>menu</nav><article>The text</article></form>', '<div class="comments-layout"><article>The text</article></div>',
+    '<article>The text</article><section class="comments"><article>nice</article></section>', "<article>The text<p hidden>no</p><div style='color:red; display : none'>no</div></article>",
+    '<body><div aria-hidden="true">no</div><p data-x="hidden">The text</p></body>',
+])
+def test_articles_are_found(page):
+    assert op7_html.main_text(page, None, set()) == "The text"
+
+
+def test_two_articles_and_text_beside_them():
+    page = "<main><p>before</p><article>one</article><article>two</article></main><article>three</article>"
+    assert op7_html.main_text(page, None, set()) == "before\n\none\n\ntwo"
+
+
+def test_deep_and_wide_pages():
+    deep = "<div>" * 10_000 + "<p>inside</p>" + "</div>" * 10_000
+    wide = "<article><table>" + "".join(f"<tr><td>{i}<td>x{i % 7}" for i in range(20_000)) + "</table></article>"
+    other = "<article><table>" + "".join(f"<tr><td>{i * 3}<td>{'y' * (i % 5)}" for i in range(19_000)) + "</table></article>"
+    assert op7_html.main_text(deep, op7_html.tree(op7_html.parse(deep)), {0}) == "inside"
+    trees = [op7_html.tree(op7_html.parse(t)) for t in (wide, other)]
+    assert len(op7_html.match(*trees)) > 19_000 * 3
+    assert op7_html.main_text("word " * 500_000, None, set()).count("word") == 500_000
+
+
+def test_unnamed_boilerplate_goes(spark):
+    """Given pages with lines added that stand on every page and name no role: the wrapper takes those and nothing else."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").withColumn("url", F.concat(F.lit("http://one.org/"), "page_id"))
+    before = {r.page_id: r.text for r in op7_html.extract(pages).collect()}
+    line = "<p>Read by everyone, every day.</p>"
+    told = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<article>", f"<article>{line}"), "</article>", "<div>All rights kept</div></article>"))
+    alone = {r.page_id: op7_html.main_text(r.html, None, set()) for r in told.select("page_id", "html").collect()}
+    after = {r.page_id: r.text for r in op7_html.extract(told).collect()}
+    changed = [i for i in alone if "Read by everyone" in alone[i] and len(before[i]) > 200]
+    assert len(changed) > 20
+    for i in changed:
+        assert after[i] == before[i]
+
+
+def test_votes_by_brute_force(spark):
+    noise = random.Random(12)
+    made = [[("p", noise.choice(["same", f"own {i}"])) for _ in range(3)] + [("h2", "Always"), ("div", f"only {i}")] for i in range(9)]
+    pages = spark.createDataFrame([(i, "http://h.org/x", "<body>" + "".join(f"<{t}>{x}</{t}>" for t, x in page) + "</body>") for i, page in enumerate(made)], "page_id long, url string, html string")
+    row = op7_html.templates(pages).first()
+    reference = json.loads(row.reference)
+    trees = {json.dumps(op7_html.tree(op7_html.parse(r.html))) for r in pages.collect()}
+    same = collections.Counter(r for t in trees for r, p in op7_html.match(reference, json.loads(t)) if reference["m"][r] == json.loads(t)["m"][p])
+    assert set(row.template) == {r for r, n in same.items() if n >= op7_html.SHARE * len(trees)}
+
+
 def test_quality_held_out(spark):
     """Fit on one half of the labels, judged on the other."""
     noise = random.Random(8)
