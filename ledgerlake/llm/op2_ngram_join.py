@@ -135,7 +135,9 @@ def verify(keys: list[bytes], blocks: np.ndarray, copies: np.ndarray, sets: list
     sets, blocks, copies = [sets[i] for i in order], blocks[order], copies[order]
     sizes = np.array([len(s) for s in sets], np.float32)
     shared = shared_counts(sets)
-    linked = shared >= LEAST * (sizes[:, None] + sizes[None, :] - shared) - 1e-3
+    # In whole numbers: shared / union >= LEAST, whose tenths are whole.
+    both = np.rint(shared).astype(np.int64)
+    linked = 10 * both >= round(10 * LEAST) * (sizes[:, None].astype(np.int64) + sizes[None, :].astype(np.int64) - both)
     np.fill_diagonal(linked, False)
     root = _roots(linked)
     if across:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlake.llm.common import read
 from ledgerlake.llm.words import Words, chunks
@@ -193,6 +194,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of every contaminated document and item."""
     spark = docs.sparkSession
     kind = benchmark.schema["item_id"].dataType
+    kept_as = to_arrow_type(kind)
     schema = docs.select("doc_id").schema.add("item_id", kind).add("score", "double").add("first_word", "long").add("last_word", "long")
     result = None
     for held in blocks(docs, benchmark):
@@ -206,7 +208,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         of, item, score, first, last = zip(*rows)
                         ids = batch.column("doc_id").take(pa.array(np.array(of) + start))
                         yield pa.RecordBatch.from_arrays(
-                            [ids, pa.array([known.value.ids[i] for i in item]), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
+                            [ids, pa.array([known.value.ids[i] for i in item], kept_as), pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(last, pa.int64())],
                             ["doc_id", "item_id", "score", "first_word", "last_word"])
 
         part = docs.select("doc_id", "text").mapInArrow(search, schema)

@@ -15,6 +15,8 @@ than k words has no grams; an empty table gives an empty result; extra columns a
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,8 @@ def _grams(words: Column, k: int) -> Column:
 def template_grams(spark: SparkSession, phrases: list[tuple[str, str]], notices: list[tuple[str, str]], k: int) -> DataFrame:
     """(template, label, exact, length, t, gram); phrases must have k words or more."""
     rows = [(label, True, text) for label, text in phrases] + [(label, False, text) for label, text in notices]
+    if not rows:
+        return spark.createDataFrame([], "template int, label string, exact boolean, length int, t int, gram long")
     literal = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(l).alias("label"), F.lit(e).alias("exact"), F.lit(t).alias("text")) for i, (l, e, t) in enumerate(rows)])
     words = spark.range(1).select(F.inline(literal)).withColumn("words", words_of(F.col("text")))
     grams = words.select("template", "label", "exact", F.size("words").alias("length"), F.posexplode(_grams(F.col("words"), k)).alias("t", "gram"))
@@ -75,7 +79,7 @@ def votes(docs: DataFrame, templates: DataFrame, k: int) -> DataFrame:
     """A row per document (template -1) and per vote: doc_id, key, n_words, template, label, exact, length, t, p."""
     counted = docs.select("doc_id", text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("words"))
     each = counted.select("doc_id", "key", F.size("words").alias("n_words"), F.posexplode(_grams(F.col("words"), k)).alias("p", "gram"))
-    itself = templates.limit(1).select(F.lit(-1).alias("template"), F.lit("").alias("label"), F.lit(False).alias("exact"),
+    itself = docs.sparkSession.range(1).select(F.lit(-1).alias("template"), F.lit("").alias("label"), F.lit(False).alias("exact"),
                                        F.lit(0).alias("length"), F.lit(0).alias("t"), F.lit(None).cast("long").alias("gram"))
     known = F.broadcast(templates.unionByName(itself))
     return each.withColumn("gram", F.coalesce("gram", F.lit(0).cast("long"))).join(
@@ -84,7 +88,12 @@ def votes(docs: DataFrame, templates: DataFrame, k: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, phrases: list[tuple[str, str]], notices: list[tuple[str, str]], k: int = K) -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    A phrase shorter than ``k`` words makes all grams as short as it is; one without words is nowhere.
+    """
+    phrases = [(label, text) for label, text in phrases if re.search(WORD, text)]
+    k = min([k, *[len(re.findall(WORD, text)) for _, text in phrases]])
     found = written(votes(docs, template_grams(docs.sparkSession, phrases, notices, k), k), "license-votes")
     # Once per text: a place that copies vote for again is the same place.
     voted = found.where("template >= 0").groupBy("key", "template", "label", "exact", "length", "t", "p").agg(F.lit(1).alias("n"))

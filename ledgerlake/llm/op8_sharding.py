@@ -3,7 +3,7 @@
 The key walks a fixed pseudo-random sequence of jumps; the last shard it reaches below the number of shards is its
 own. With one more shard a key either stays or moves to the new one, because the walk itself does not change.
 
-Defined cases: a null key counts as key 0; a null or empty text has no bytes; equal rows share a shard and take
+Defined cases: a null key counts as key 0; a key that is no whole number counts as a 64-bit hash of it; a null or empty text has no bytes; equal rows share a shard and take
 neighbouring slots; an empty table gives an empty result; extra columns of the input pass through ``assign`` (the
 columns ``shard`` and ``grown_shard`` are replaced) and are dropped by ``layout``.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerlake.llm.common import read, running_start, written
 
@@ -57,6 +58,8 @@ def _jumps(key: Column, shards: int) -> Column:
 
 def assign(docs: DataFrame, key: Column, shards: int) -> DataFrame:
     """Add ``shard`` and ``grown_shard`` (with one more shard). Reads each row once, without a shuffle."""
+    if not isinstance(docs.select(key.alias("_key")).schema[0].dataType, IntegralType):
+        key = F.when(key.isNotNull(), F.xxhash64(key))
     docs = docs.drop("shard", "grown_shard").withColumn("_walk", _jumps(key, shards))
     if shards > USUAL_JUMPS:
         # Each jump moves on by one shard at least, so ``shards`` steps end every walk.

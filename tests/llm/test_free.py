@@ -253,6 +253,21 @@ def test_unnamed_boilerplate_goes(spark):
         assert after[i] == before[i]
 
 
+def test_item_ids_of_other_types(spark):
+    text = "it was a bright cold day in april and the clocks were striking thirteen"
+    docs = spark.createDataFrame([("d-1", "so " + text + " so"), ("d-2", "nothing of it")], "doc_id string, text string")
+    items = spark.createDataFrame([(7, text)], "item_id int, text string")
+    assert [(r.doc_id, r.item_id) for r in op5_decontaminate.matches(docs, items).collect()] == [("d-1", 7)]
+
+
+def test_limit_in_whole_numbers():
+    """Sets at exactly the limit and one shingle below it, far above what single precision holds apart."""
+    for scale in (1, 4_001, 60_000):
+        sizes, shared = 9 * scale, 8 * scale
+        union = 2 * sizes - shared
+        assert (10 * shared >= round(10 * op2_ngram_join.LEAST) * union) and not (10 * (shared - 1) >= round(10 * op2_ngram_join.LEAST) * (union + 2))
+
+
 def test_votes_by_brute_force(spark):
     noise = random.Random(12)
     made = [[("p", noise.choice(["same", f"own {i}"])) for _ in range(3)] + [("h2", "Always"), ("div", f"only {i}")] for i in range(9)]

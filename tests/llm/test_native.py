@@ -146,3 +146,20 @@ def test_similar_pairs(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     pairs = op1_fingerprint.similar_pairs(docs, 0.8).collect()
     assert len(pairs) == 1 and pairs[0].likeness >= 0.8
+
+
+def test_shards_of_text_keys(spark):
+    docs = spark.createDataFrame([(f"a-{i}", "x") for i in range(400)] + [(None, "y")], "doc_id string, text string")
+    rows = op8_sharding.layout(docs, 7).collect()
+    assert len(rows) == 401 and {r.shard for r in rows} == set(range(7))
+    assert all(r.grown_shard in (r.shard, 7) for r in rows)
+    for shard in range(7):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_license_lists_without_or_with_short_phrases(spark):
+    docs = spark.createDataFrame([(1, "Under the MIT license, all of it"), (2, None)], "doc_id long, text string")
+    assert [(r.doc_id, r.n_base, r.labels) for r in op6_license_scan.scan(docs, [], []).orderBy("doc_id").collect()] == [(1, 0, ""), (2, 0, "")]
+    short = op6_license_scan.scan(docs, [("mit", "mit"), ("none", "..."), ("two", "the mit")], []).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in short] == [(7, 2, 1, 2, "mit,two"), (0, 0, None, None, "")]
+    assert op6_license_scan.scan(docs, [], [("x", "one")]).count() == 2
