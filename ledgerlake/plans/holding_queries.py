@@ -216,8 +216,10 @@ WEALTH_VIEWS = f"{FUND_VIEWS} fx_account fx_order_deposit"
 
 
 def holding_snapshots(bank: Bank) -> DataFrame:
-    posted = posting.accepted(posted_funds(bank))
-    return holdings.monthly_holdings(posted, prices(bank), FUND_ORDER, as_of(bank))
+    """Prices serve the posting and the month ends, and facts every report on holdings: each is made once."""
+    nav = bank.once("prices", lambda: prices(bank))
+    posted = bank.once("accepted funds", lambda: posting.accepted(posted_funds(bank, nav)))
+    return holdings.monthly_holdings(posted, nav, FUND_ORDER, as_of(bank))
 
 
 def wealth_snapshots(bank: Bank) -> DataFrame:

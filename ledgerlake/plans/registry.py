@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import durable
 from . import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,12 @@ class Bank:
             self._views[name] = self._build(name)
         return self._views[name]
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A costly frame that several steps of one query need: computed once and kept in reliable storage."""
+        if f"once {name}" not in self._views:
+            self._views[f"once {name}"] = durable(build())
+        return self._views[f"once {name}"]
+
     def _build(self, name: str) -> DataFrame:
         if name not in fixtures.VIEWS:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
