@@ -168,6 +168,25 @@ def test_passages_by_brute_force(spark, odd, crowd):
     assert op9_suffix_dedup.repeats(docs.limit(0), crowd).count() == 0
 
 
+def test_passages_of_the_query_by_brute_force(spark):
+    """The whole table of sf0.01 by the contract, window by window."""
+    folder = "/root/testdata/sf0.01"
+    bodies = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    seen = collections.Counter(hashlib.blake2b(b[i:i + 400], digest_size=12).digest() for _, b in bodies for i in range(len(b) - 399))
+    want = {}
+    for doc_id, body in bodies:
+        gone = np.zeros(len(body) + 1, np.int32)
+        for at in range(len(body) - 399):
+            if seen[hashlib.blake2b(body[at:at + 400], digest_size=12).digest()] > 1:
+                gone[at] += 1
+                gone[at + 400] -= 1
+        gone = np.cumsum(gone[:-1]) > 0
+        keep = np.frombuffer(body, np.uint8)[~gone].tobytes()
+        want[doc_id] = (len(body), int(gone.sum()), int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]])), hashlib.sha256(keep).hexdigest())
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op9_suffix_dedup.op9_suffix_runs(spark, folder).collect()}
+    assert got == want and sum(w[1] for w in want.values()) > 0
+
+
 def plain_match(a, b):
     """Size of the largest match, by the recursion itself."""
     if a[0] != b[0]:
