@@ -236,9 +236,12 @@ def post(
 ) -> DataFrame:
     """Every request with ``outcome``, ``_reason``, ``_room`` before it, and its stable ``txn_id``.
 
-    outcome is accepted, rejected, replayed (a repeat of an accepted request) or quarantined.
+    outcome is accepted, rejected, replayed (a repeat of an accepted request) or quarantined. Of several state rows of a
+    key the largest counts, so that no request is doubled.
     """
     keys, order = list(ledger.keys), list(ledger.order)
+    rest = [c for c in state.columns if c not in keys]
+    state = state.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_state")).select(*keys, "_state.*")
     homeless = F.lit(False)
     for key in keys:
         homeless = homeless | F.col(key).isNull()

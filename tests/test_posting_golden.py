@@ -146,3 +146,12 @@ def test_rejection_log(spark):
     assert [(r.source_table, r.reason_code, r.idempotency_key) for r in log] == [("fact_deposit_txn", "INSUFFICIENT_BALANCE", "k1")]
     counts = posting.rejection_counts(posting.rejection_log(posted, posting.DEPOSIT, "txn_datetime"))
     assert counts.select(F.sum("n_rejected")).first()[0] == 1
+
+
+def test_two_state_rows_do_not_double_requests(spark):
+    accounts = spark.createDataFrame(
+        [("A1", "savings", D(10), D(0), None, "active"), ("A1", "savings", D(20), D(0), None, "active")],
+        "account_id string, deposit_type string, current_balance decimal(18,2), min_balance decimal(18,2), overdraft_limit decimal(18,2), status string",
+    )
+    posted = posting.post_deposit_txn(deposits(spark, [("A1", 11, "debit", "k1"), ("A1", 5, "debit", "k2")]), accounts).collect()
+    assert sorted(r.running_balance for r in posted) == [D("4.00"), D("9.00")]
