@@ -215,19 +215,21 @@ wealth AS (
 WEALTH_VIEWS = f"{FUND_VIEWS} fx_account fx_order_deposit"
 
 
-def holding_snapshots(bank: Bank) -> DataFrame:
-    """Prices serve the posting and the month ends, and facts every report on holdings: each is made once."""
+def holding_snapshots(bank: Bank, share: bool = False) -> DataFrame:
+    """Prices serve the posting and the month ends and are made once; with ``share`` so are facts, for several reports."""
     nav = bank.once("prices", lambda: prices(bank))
-    posted = bank.once("accepted funds", lambda: posting.accepted(posted_funds(bank, nav)))
+    posted = posting.accepted(posted_funds(bank, nav)).select("folio_id", "scheme_code", *FUND_ORDER, "units_held", "invested_amount")
+    if share:
+        posted = bank.once("accepted funds", lambda: posted)
     return holdings.monthly_holdings(posted, nav, FUND_ORDER, as_of(bank))
 
 
-def wealth_snapshots(bank: Bank) -> DataFrame:
+def wealth_snapshots(bank: Bank, share: bool = False) -> DataFrame:
     dates = recent_month_end_dates(as_of(bank), MONTHS)
     customers = bank.customer.select(F.col("c_custkey").alias("customer_id"))
     return holdings.wealth(
         customers, bank.fx_account, posted_order_deposits(bank), ["txn_datetime", "request_id"],
-        holding_snapshots(bank), bank.fx_folio, dates,
+        holding_snapshots(bank, share), bank.fx_folio, dates,
     )
 
 
