@@ -34,9 +34,9 @@ from ledgerlake.llm.words import IS_SPACE, LOWER
 CAPACITY = 2048
 CLOSING_ID = 0
 #: Bytes of text handled at once; memory follows this or the longest text.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Words a worker remembers the ids of (some 200 bytes each); past that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 #: Words given to the tokenizer at once.
 TOGETHER = 2_000
 
