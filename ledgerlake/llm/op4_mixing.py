@@ -2,12 +2,13 @@
 
 Each source has a target in words. Blocks of equal length are given to sources by the highest quotients
 target / (2k + 1); the quotas are whole numbers, spread over output shards one block apart at most. A source's
-documents stand in a seeded order as one stream of words; its quota is a run of blocks from a seeded start, going
-round as often as the quota asks, so that documents stay whole but for the two ends of the run.
+documents stand in a seeded order as one stream of words, which is cut into one segment for each shard, as long as the
+shard's quota asks. Inside each segment the blocks are chosen by seed: a run of as many as the quota, from a seeded
+start, going round as often as needed, so that documents stay whole but for the ends of runs and segments.
 
 Defined cases: a null text has no words and takes none; a null source is a source of its own, ordered last; equal
-rows stand next to each other; a source without words has no target; an empty table gives an empty result; other
-columns are ignored.
+rows stand next to each other; a source without words has no target; a source with fewer seats than shards has empty segments; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,12 +80,46 @@ def _seeded(seed: str, value: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, weights: list[int], share: float, most: float, block: int, seed: str) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, blocks (of its source), taken."""
+def segments(quota: DataFrame, shards: int, block: int, most: float, seed: str) -> DataFrame:
+    """(source, source_size, target, blocks, segments): one row per source, its segments in shard order.
+
+    A segment is (shard, low, size, run, rounds, left): where it lies in the source's stream, the seeded start of its
+    run, and the words it takes, as whole rounds and the rest. Its length is in proportion to the shard's quota, so the
+    limit of ``most`` times falls on all shards alike. Products of words and blocks are decimals; they exceed a long.
+    """
+    per = shard_quotas(quota, shards).select(F.col("source").alias("_source"), "shard", F.col("blocks").alias("won"))
+    own = quota.join(per, F.col("source").eqNullSafe(F.col("_source"))).where("won > 0")
+    upto = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumn("upto", F.sum("won").over(upto))
+    cut = lambda seats: F.expr(f"(CAST(source_size AS DECIMAL(19, 0)) * CAST({seats} AS DECIMAL(18, 0))) div CAST(blocks AS DECIMAL(18, 0))")
+    own = own.withColumns({"low": cut("upto - won"), "high": cut("upto")}).withColumn("size", F.col("high") - F.col("low"))
+    own = own.where("size > 0").withColumn("words", F.least(F.col("won") * block, F.floor(F.col("size") * F.lit(float(most)))))
+    start = _seeded(f"{seed}/start", F.concat(F.col("shard").cast("string"), F.lit("/"), F.coalesce("source", F.lit(""))))
+    run = F.pmod(start, F.greatest(F.floor(F.col("size") / block), F.lit(1))) * block
+    one = F.struct("shard", "low", "size", run.alias("run"), F.floor(F.col("words") / F.col("size")).alias("rounds"), (F.col("words") % F.col("size")).alias("left"))
+    held = own.groupBy("source").agg(F.array_sort(F.collect_list(one)).alias("segments")).withColumnRenamed("source", "_source")
+    return quota.join(held, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+        "source", "source_size", "target", "blocks", F.coalesce("segments", F.array().cast(held.schema["segments"].dataType)).alias("segments"))
+
+
+def _words_of(segment: Column, first: Column, end: Column) -> Column:
+    """Words that a segment takes of the words [first, end) of its source's stream."""
+    size, run, left = segment["size"], segment["run"], segment["left"]
+    inside = lambda x: F.least(F.greatest(x - segment["low"], F.lit(0)), size)
+    # Of the segment's words [0, x): those in the run, and those in what of the run goes round to the segment's start.
+    upto = lambda x: F.least(F.greatest(x - run, F.lit(0)), left) + F.least(x, F.greatest(run + left - size, F.lit(0)))
+    low, high = inside(first), inside(end)
+    return segment["rounds"] * (high - low) + upto(high) - upto(low)
+
+
+def mix(docs: DataFrame, weights: list[int], share: float, most: float, block: int, seed: str, shards: int) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, blocks (of its source), taken, and ``shards``,
+    an array of (shard, words): which shards take how many of its words."""
     rows = docs.select("doc_id", "source", F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"))
     rows = written(rows.withColumn("mixed", _seeded(seed, F.col("doc_id"))).withColumn("part", F.spark_partition_id()), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     quota = written(quotas(targets(sizes, weights, share, most), block), "mix-quotas")
+    own = written(segments(quota, shards, block, most, seed).withColumnRenamed("source", "_source"), "mix-segments")
     buckets = rows.count() // ROWS_PER_BUCKET + 1
     # Rows that agree in everything are counted per input partition first, so that a repeated id is never gathered.
     counted = rows.groupBy("source", "mixed", "doc_id", "size", "part").agg(F.count("*").alias("n")).withColumns(
@@ -92,23 +127,17 @@ def mix(docs: DataFrame, weights: list[int], share: float, most: float, block: i
     order = [F.col(c) for c in ("mixed", "doc_id", "size", "part")]
     placed = running_start(counted, ["source"], "bucket", order, "words", "first")
     copies = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("first", F.col("first") + F.col("copy") * F.col("size"))
-    own = quota.select(F.col("source").alias("_source"), "source_size", "target", "blocks")
     joined = copies.join(own, F.col("source").eqNullSafe(F.col("_source")))
-    words = F.least(F.col("blocks") * block, F.floor(F.col("source_size") * F.lit(float(most))))
-    start = F.pmod(_seeded(f"{seed}/start", F.col("source")), F.greatest(F.floor(F.col("source_size") / block), F.lit(1))) * block
-    joined = joined.withColumns({"words": words, "run": start})
-    size = F.greatest(F.col("source_size"), F.lit(1))
-    # Words of [0, x) that a run of ``left`` words from ``run`` takes, going round the stream once at most.
-    rounds, left = F.floor(F.col("words") / size), F.col("words") % size
-    upto = lambda x: (F.least(F.greatest(x - F.col("run"), F.lit(0)), F.col("left"))
-                      + F.least(x, F.greatest(F.col("run") + F.col("left") - size, F.lit(0))))
-    joined = joined.withColumns({"rounds": rounds, "left": left})
-    taken = F.col("rounds") * F.col("size") + upto(F.col("first") + F.col("size")) - upto(F.col("first"))
-    return joined.select("doc_id", "source", "size", "source_size", "target", "blocks", taken.cast("long").alias("taken"))
+    end = F.col("first") + F.col("size")
+    each = F.transform(F.filter("segments", lambda s: (s["low"] < end) & (s["low"] + s["size"] > F.col("first"))),
+                       lambda s: F.struct(s["shard"].alias("shard"), _words_of(s, F.col("first"), end).cast("long").alias("words")))
+    joined = joined.withColumn("shards", F.filter(each, lambda s: s["words"] > 0))
+    taken = F.aggregate("shards", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["words"])
+    return joined.select("doc_id", "source", "size", "source_size", "target", "blocks", taken.alias("taken"), "shards")
 
 
 def mixed_rows(docs: DataFrame, **how: object) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it (to the nearest whole number; it cuts two documents a source)."""
+    """The rows of ``docs``, each as often as the mix takes it (to the nearest whole number; it cuts two documents a segment)."""
     taken = mix(docs, **how).where("size > 0").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("n"))
     names = {c: fresh(docs, f"mix_{c}") for c in ("id", "source", "size", "times", "turn")}
     times = taken.select(F.col("doc_id").alias(names["id"]), F.col("source").alias(names["source"]), F.col("size").alias(names["size"]),
@@ -119,12 +148,13 @@ def mixed_rows(docs: DataFrame, **how: object) -> DataFrame:
 
 
 # What the query and the pipeline mix to.
-PRODUCTION = {"weights": [5, 2, 1], "share": 1.5, "most": 2.0, "block": 16, "seed": "mix"}
+PRODUCTION = {"weights": [5, 2, 1], "share": 1.5, "most": 2.0, "block": 16, "seed": "mix", "shards": 24}
 
 
 def op4_apportioned_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents, sources weighing 5, 2, 1 in turn, 150 % of all words, at most twice each."""
-    return mix(read(spark, folder, "documents"), **PRODUCTION).select("doc_id", "size", "source_size", "target", "taken")
+    """All documents, sources weighing 5, 2, 1 in turn, 150 % of all words, at most twice each; ``shards`` is a list of shard:words."""
+    listed = F.array_join(F.transform("shards", lambda s: F.concat_ws(":", s["shard"].cast("string"), s["words"].cast("string"))), ",")
+    return mix(read(spark, folder, "documents"), **PRODUCTION).select("doc_id", "size", "source_size", "target", "taken", listed.alias("shards"))
 
 
 ORACLE = r"""
@@ -156,14 +186,29 @@ quotients AS (
 quota AS (
   SELECT t.source, t.source_size, t.target, coalesce((SELECT count(*) FROM quotients q WHERE q.source IS NOT DISTINCT FROM t.source
       AND q.place <= (SELECT round(sum(target) / 16) FROM targeted)), 0) AS blocks FROM targeted t),
+seats AS (
+  SELECT q.*, s AS shard, blocks // 24 + CASE WHEN (s - start_ % 24 + 24) % 24 < blocks % 24 THEN 1 ELSE 0 END AS won
+  FROM (SELECT *, coalesce(sum(blocks) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_ FROM quota) q, range(24) r(s)),
+cuts AS (
+  SELECT *, sum(won) OVER (PARTITION BY source ORDER BY shard)::HUGEINT AS upto FROM seats WHERE won > 0),
+bounds AS (
+  SELECT source, shard, won, (source_size::HUGEINT * (upto - won) // blocks)::BIGINT AS low, (source_size::HUGEINT * upto // blocks)::BIGINT AS high FROM cuts),
+segments AS (
+  SELECT source, shard, low, high - low AS s, least(won * 16, 2 * (high - low)) AS words,
+    (('0x' || substr(md5('mix/start/' || shard || '/' || coalesce(source, '')), 1, 15))::BIGINT % greatest((high - low) // 16, 1)) * 16 AS run
+  FROM bounds WHERE high > low),
 placed AS (
-  SELECT r.doc_id, r.size, q.source_size, q.target, least(q.blocks * 16, 2 * q.source_size) AS words, greatest(q.source_size, 1) AS s,
-    coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.mixed, r.doc_id, r.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_,
-    (('0x' || substr(md5('mix/start/' || coalesce(r.source, '')), 1, 15))::BIGINT % greatest(q.source_size // 16, 1)) * 16 AS run
-  FROM rows_ r JOIN quota q ON r.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target,
-  ((words // s) * size
-   + least(greatest(first_ + size - run, 0), words % s) + least(first_ + size, greatest(run + words % s - s, 0))
-   - least(greatest(first_ - run, 0), words % s) - least(first_, greatest(run + words % s - s, 0)))::BIGINT AS taken
-FROM placed
+  SELECT r.doc_id, r.size, q.source, q.source_size, q.target, row_number() OVER () AS place,
+    coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.mixed, r.doc_id, r.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_
+  FROM rows_ r JOIN quota q ON r.source IS NOT DISTINCT FROM q.source),
+met AS (
+  SELECT p.place, g.*, least(greatest(p.first_ - low, 0), s) AS a, least(greatest(p.first_ + p.size - low, 0), s) AS b
+  FROM placed p JOIN segments g ON p.source IS NOT DISTINCT FROM g.source AND g.low < p.first_ + p.size AND g.low + g.s > p.first_),
+worth AS (
+  SELECT place, shard, ((words // s) * (b - a)
+    + least(greatest(b - run, 0), words % s) + least(b, greatest(run + words % s - s, 0))
+    - least(greatest(a - run, 0), words % s) - least(a, greatest(run + words % s - s, 0)))::BIGINT AS words FROM met),
+summed AS (
+  SELECT place, sum(words)::BIGINT AS taken, string_agg(shard || ':' || words, ',' ORDER BY shard) AS shards FROM worth WHERE words > 0 GROUP BY place)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, coalesce(shards, '') AS shards FROM placed LEFT JOIN summed USING (place)
 """

@@ -1,5 +1,6 @@
 """Sharding, mixing, url filter, license scan and fingerprints: SQL on whole tables, edge cases on small ones."""
 
+import hashlib
 import math
 
 import pytest
@@ -93,6 +94,37 @@ def test_mix_odd_rows(spark, odd):
     assert mixed.columns == odd.columns and {r.text for r in mixed.collect()} <= {r.text for r in odd.collect()}
 
 
+def test_blocks_of_shards(spark):
+    """Every shard takes its quota of every source; each word of a document as often as a walk over the runs does."""
+    sizes = {"a": [70, 3, 0, 41, 5], "b": [9, 9, 200], None: [33], "c": [2], "d": [0]}
+    rows = [(i, " ".join(["word"] * n), source) for i, (source, n) in enumerate((s, n) for s, all_ in sizes.items() for n in all_)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    how = {**op4_mixing.PRODUCTION, "block": 4, "shards": 3}
+    sized = spark.createDataFrame([(s, sum(all_)) for s, all_ in sizes.items()], "source string, source_size long")
+    quota = op4_mixing.quotas(op4_mixing.targets(sized, how["weights"], how["share"], how["most"]), 4)
+    won = {(r.source, r.shard): r.blocks for r in op4_mixing.shard_quotas(quota, 3).collect()}
+    cut = {r.source: r.segments for r in op4_mixing.segments(quota, 3, 4, 2.0, "mix").collect()}
+    got = op4_mixing.mix(docs, **how).collect()
+    place = lambda r: (int(hashlib.md5(f"mix/{r.doc_id}".encode()).hexdigest()[:15], 16), r.doc_id)
+    for source, all_ in sizes.items():
+        times = [dict() for _ in range(sum(all_))]
+        assert [s.low for s in cut[source]] == [sum(x.size for x in cut[source][:i]) for i in range(len(cut[source]))]
+        for s in cut[source]:
+            words = s.rounds * s.size + s.left
+            assert words == min(won[source, s.shard] * 4, 2 * s.size) and words >= won[source, s.shard] * 4 - 4
+            for k in range(words):
+                word = times[s.low + (s.run + k) % s.size]
+                word[s.shard] = word.get(s.shard, 0) + 1
+        at = 0
+        for r in sorted((r for r in got if r.source == source), key=place):
+            want: dict = {}
+            for word in times[at:at + r.size]:
+                for shard, n in word.items():
+                    want[shard] = want.get(shard, 0) + n
+            assert {s.shard: s.words for s in r.shards} == want and r.taken == sum(want.values()) <= 2 * r.size
+            at += r.size
+
+
 def test_aliases_and_precedence(spark):
     link = '<link href="{}" rel="canonical">'
     pages = spark.createDataFrame([
