@@ -1,10 +1,13 @@
 """N-gram Jaccard join: MinHash bands find candidates, full n-gram sets verify them.
 
 A text's set are the hashes of its five-word shingles. ``BANDS`` bands of ``ROWS`` minima meet a pair at Jaccard 0.8
-with probability 1 - (1 - 0.8^5)^32 = 0.999997. Texts are shuffled on band hashes (narrow rows); texts that are tied by
-bands form candidate groups; then every text of a group comes once, with its full set, to where the group is verified.
-There the shared shingles of all texts of a group are counted block by block, so every link is found and counted, but
-only one row per text leaves: no list of pairs is made, however large a group of near copies is.
+with probability 1 - (1 - 0.8^5)^32 = 0.999997. Texts are shuffled on band hashes (narrow rows). Bands also meet two of
+three pairs at 0.5, which would chain unlike texts into one group, so a bucket ties only texts that agree in ``AGREE`` of
+all ``BANDS * ROWS`` minima (one byte of each): 4.7 standard deviations below 0.8, so one link in a million is lost, and
+3.7 above 0.5. Tied texts form candidate groups; then every text of a group comes once, with its full set, to where
+the group is verified. There the shared shingles of all texts of a group are counted block by block, so every link is
+found and counted, but only one row per text leaves: no list of pairs is made, however large a group of near copies is.
+A bucket above ``BUCKET`` texts is never gathered: its texts are all tied to its first, which can only add candidates.
 
 A copy is one text: it is verified once and shares its result. Groups above ``BLOCK`` texts are split into pairs of
 blocks which different tasks verify.
@@ -30,7 +33,8 @@ from ledgerlake.llm.words import Words, chunks, scatter
 
 N, LEAST = 5, 0.8
 BANDS, ROWS = 32, 5
-BLOCK = 512
+AGREE = 0.65
+BLOCK, BUCKET = 512, 1024
 #: Columns of the shingle matrix multiplied at a time.
 WIDTH = 4096
 
@@ -56,33 +60,37 @@ def shingles(words: Words, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     return of, grams
 
 
-def band_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with shingles, their BANDS hashes)."""
+def band_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts with shingles, their BANDS hashes, a byte of each of their BANDS * ROWS minima)."""
     of, grams = shingles(words)
     if not len(of):
-        return np.zeros(0, np.int64), np.zeros((0, BANDS), np.int64)
+        return np.zeros(0, np.int64), np.zeros((0, BANDS), np.int64), np.zeros((0, BANDS * ROWS), np.uint8)
     starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     out = np.zeros((len(starts), BANDS), np.uint64)
+    minima = np.zeros((len(starts), BANDS * ROWS), np.uint8)
     for band in range(BANDS):
         mixed = np.full(len(starts), band + 1, np.uint64)
         for row in range(ROWS):
             # Multiplying by an odd number permutes 64-bit values; minima of well-spread hashes are MinHash values.
             least = np.minimum.reduceat(grams * _FACTORS[band * ROWS + row], starts)
             mixed = scatter(mixed + least)
+            minima[:, band * ROWS + row] = least & np.uint64(255)
         out[:, band] = mixed
-    return of[starts], out.view(np.int64)
+    return of[starts], out.view(np.int64), minima
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, end, words in chunks(batch.column("text")):
-            has, bands = band_hashes(words)
+            has, bands, minima = band_hashes(words)
             lists: list = [None] * (end - start)
-            for i, row in zip(has, bands):
-                lists[i] = row
+            signs: list = [None] * (end - start)
+            for i, row, sign in zip(has, bands, minima):
+                lists[i], signs[i] = row, sign.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(start, end - start), batch.column("key").slice(start, end - start), pa.array(lists, pa.list_(pa.int64()))],
-                ["doc_id", "key", "bands"])
+                [batch.column("doc_id").slice(start, end - start), batch.column("key").slice(start, end - start),
+                 pa.array(lists, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
+                ["doc_id", "key", "bands", "minima"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +104,45 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], [*[n for n in batch.schema.names if n != "text"], "shingles"])
 
 
+def bucket_roots(bucket: np.ndarray, minima: np.ndarray) -> np.ndarray:
+    """For each row the first row of its bucket that it is tied to, through others if need be; rows come by bucket."""
+    rows = np.arange(len(bucket))
+    start = np.searchsorted(bucket, bucket)
+    need = AGREE * minima.shape[1]
+    # Most buckets hold copies of one text, alike to their first; only the others are compared among themselves.
+    root = np.where((minima == minima[start]).sum(axis=1) >= need, start, rows)
+    for first in np.unique(start[root != start]):
+        end = np.searchsorted(bucket, bucket[first], "right")
+        own = minima[first:end]
+        alike = np.stack([(own == row).sum(axis=1) >= need for row in own])
+        root[first:end] = first + _roots(alike)
+    return root
+
+
+def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band, key, minima) come sorted by band; a bucket is held until its last row is seen."""
+    def tied(table: pa.Table) -> pa.RecordBatch:
+        minima = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint8).reshape(len(table), BANDS * ROWS)
+        root = bucket_roots(table.column("band").to_numpy(), minima)
+        others = np.flatnonzero(root != np.arange(len(root)))
+        keys = table.column("key").combine_chunks()
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(others)), keys.take(pa.array(root[others]))], ["a", "b"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        bands = held.column("band").to_numpy()
+        cut = int(np.searchsorted(bands, bands[-1]))
+        if cut:
+            yield tied(held.slice(0, cut))
+            held = held.slice(cut)
+    if held is not None:
+        yield tied(held)
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Matrix of how many shingles each two sets share, by products of narrow 0/1 matrices."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -175,16 +222,32 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), RESULT.types)], schema=RESULT)
 
 
+def signed_texts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, bands, minima) of every document of ``rows(doc_id, key, text)``, and the same of every text with its copies."""
+    schema = rows.select("doc_id").schema.add("key", "binary").add("bands", ArrayType(LongType())).add("minima", "binary")
+    signed = written(rows.mapInArrow(_signatures, schema), "ngram-bands")
+    texts = signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("minima").alias("minima"))
+    return signed, written(texts, "ngram-texts")
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """(a, b): ties of texts that share a band and look alike by all their minima."""
+    each = texts.select("key", F.explode("bands").alias("band"))
+    shared = each.groupBy("band").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
+    met = written(each.join(shared, "band"), "ngram-buckets")
+    starred = met.where((F.col("n") > BUCKET) & (F.col("key") != F.col("first"))).select(F.col("key").alias("a"), F.col("first").alias("b"))
+    # A text brings its minima once; its buckets leave from there.
+    small = met.where(F.col("n") <= BUCKET).groupBy("key").agg(F.collect_list("band").alias("bands"))
+    known = small.join(texts.select("key", "minima"), "key").select(F.explode("bands").alias("band"), "key", "minima")
+    dealt = known.repartition("band").sortWithinPartitions("band")
+    return starred.unionAll(dealt.mapInArrow(_ties, "a binary, b binary")).distinct()
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of every document, and (key, root, links, partners) of every text that has a candidate."""
-    spark = docs.sparkSession
     rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.col("text"))
-    signed = written(rows.mapInArrow(_signatures, docs.select("doc_id").schema.add("key", "binary").add("bands", ArrayType(LongType()))), "ngram-bands")
-    texts = written(signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "ngram-texts")
-    each = texts.select("key", F.explode("bands").alias("band"))
-    shared = each.groupBy("band").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    tied = each.join(shared, "band").where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
-    member = written(components(tied).withColumnRenamed("root", "group"), "ngram-groups")
+    signed, texts = signed_texts(rows)
+    member = written(components(candidates(texts)).withColumnRenamed("root", "group"), "ngram-groups")
     sized = member.groupBy("group").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     one = member.withColumnRenamed("node", "key").join(sized, "group").join(texts.select("key", F.col("doc_id").alias("first_id"), "copies"), "key").drop("size")
     # One document of each text brings its words; a text's other copies do not match its id.

@@ -66,6 +66,31 @@ def test_links_by_brute_force(spark, monkeypatch, block):
     assert {r.doc_id for r in op2_ngram_join.representatives(docs).collect()} == set(name.values())
 
 
+def test_candidates_of_known_likeness(spark, monkeypatch):
+    """Windows that slide over one long text: neighbours at 0.5 chain nothing together, neighbours at 0.8 are all tied."""
+    noise = random.Random(5)
+    count, size = 250, 304
+    for step, near in ((100, 0), (33, count - 1)):
+        line = [f"w{noise.randrange(10**9)}" for _ in range(step * count + size)]
+        rows = [(i, " ".join(line[i * step:i * step + size])) for i in range(count)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.encode(F.col("doc_id").cast("string"), "utf-8"))
+        _, texts = op2_ngram_join.signed_texts(docs)
+        found = [{int(r.a), int(r.b)} for r in op2_ngram_join.candidates(texts).collect()]
+        assert len([p for p in found if max(p) - min(p) == 1]) >= near
+        assert near or not found
+    # A bucket that is not gathered ties all its texts.
+    monkeypatch.setattr(op2_ngram_join, "BUCKET", 1)
+    assert len(op2_ngram_join.candidates(texts).collect()) >= near
+
+
+def test_bucket_roots():
+    a, b = np.zeros(160, np.uint8), np.ones(160, np.uint8)
+    half = np.where(np.arange(160) < 50, b, a).astype(np.uint8)  # alike to a, not to b
+    more = np.where(np.arange(160) < 105, b, a).astype(np.uint8)  # alike to half, not to a
+    got = op2_ngram_join.bucket_roots(np.array([1, 1, 2, 2, 2, 2, 3]), np.stack([a, b, a, b, more, half, a]))
+    assert got.tolist() == [0, 1, 2, 2, 2, 2, 6]
+
+
 def test_links_odd_rows(spark, odd):
     rows = op2_ngram_join.link(odd).collect()
     assert len(rows) == odd.count()
