@@ -3,8 +3,8 @@
 Two keyed operators with RocksDB state follow each other. The first one knows which account an idempotency key belongs
 to: that of its first usable request. The second one knows an account's balance, the time of its last posting and
 what became of its keys, so a micro-batch reads the files that have landed and its accounts' state, and no earlier
-result. Rows of one account in one micro-batch are sorted by (time, request); how many files a micro-batch takes
-bounds them.
+result. Accounts that nothing has been posted to have no state: their requests bring the opening balance along. Rows of
+one account in one micro-batch are sorted by (time, request); how many files a micro-batch takes bounds them.
 
 A request from before its account's last posting cannot be put in order any more: it leaves as ``late``, and
 ``operators.late`` settles it. A replay of an accepted key is no such case: it is answered, not posted.
@@ -25,65 +25,83 @@ from ..functions.money import cents, from_cents
 from ..functions.text import stable_id
 from ..operators import posting
 from ..operators.settlement import ACCEPTED, REFUSED, Account
+from ..sources.tables import Lake
 from .ledger_stream import REQUESTS, append_stream
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Landed files of one micro-batch.
 MAX_FILES = 1_000
 
+#: Groups of idempotency keys. The rows of one group in one micro-batch are in memory together.
+KEY_GROUPS = 256
+
 _NAMES = ["request_id", "account_id", "txn_datetime", "amount", "dr_cr", "channel", "idempotency_key"]
-# Input columns by place, as computed ones reach the processors without their names.
-_CHECKED = [*_NAMES, "_sound", "_cents", "_usable", "_key"]
-_OWNED = [*_NAMES, "_cents", "_sound", "_reused", "_account"]
-_OPENING = ["account_id", "room", "lowest", "overdraft", "active", "_account"]
+# Input columns by place, as computed ones reach the processors without their names. Whole numbers are never null there:
+# pandas would turn a column with a null into floats, and long ids would lose digits.
+_CARRIED = ["request_id", "_no_id", "_account", "txn_datetime", "amount", "dr_cr", "channel", "idempotency_key", "_cents", "_sound"]
+_CARRIED_TYPES = ("request_id bigint, _no_id boolean, _account bigint, txn_datetime timestamp_ntz, amount decimal(18,2), dr_cr string, "
+                  "channel string, idempotency_key string")
+_CHECKED = [*_CARRIED, "_usable", "_group"]
+_OWNED = [*_CARRIED, "_reused", "_seen", "_room", "_lowest", "_overdraft", "_active"]
+_NOBODY = -1 << 63
 
 
 class KeyOwners(StatefulProcessor):
-    """Marks requests whose idempotency key belongs to another account."""
+    """Marks requests whose idempotency key belongs to another account, and keys that an earlier batch has used.
+
+    Keys come in groups by hash, so that a call settles many of them; each has its own entry in the state.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.owner = handle.getValueState("owner", "account_id bigint")
+        self.owner = handle.getMapState("owner", "idempotency_key string", "account_id bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows), ignore_index=True).set_axis(_CHECKED, axis=1)
-        # A request without a key is alone under a stand-in and leaves no state.
-        known = self.owner.get()[0] if self.owner.exists() else None
-        named = frame["idempotency_key"].notna()
-        if known is None and named.any():
-            usable = frame[named & frame["_usable"]]
-            if len(usable):
-                first = usable.sort_values(["txn_datetime", "request_id"]).iloc[0]
-                known = int(first["account_id"])
-                self.owner.update((known,))
-        frame["_reused"] = named & frame["_usable"] & (frame["account_id"] != known) if known is not None else False
-        yield frame[[*_NAMES, "_cents", "_sound", "_reused"]]
+        # A request without a key leaves no state, and one that may not post owns nothing.
+        usable = (frame["idempotency_key"].notna() & frame["_usable"]).to_numpy(bool)
+        mine = frame.loc[usable, ["idempotency_key", "txn_datetime", "_no_id", "request_id", "_account"]]
+        first = mine.sort_values(["txn_datetime", "_no_id", "request_id"]).drop_duplicates("idempotency_key")
+        owner, earlier = {}, set()
+        for name, account in zip(first["idempotency_key"].tolist(), first["_account"].tolist()):
+            known = self.owner.getValue((name,))
+            if known is None:
+                self.owner.updateValue((name,), (account,))
+                owner[name] = account
+            else:
+                owner[name] = known[0]
+                earlier.add(name)
+        names, accounts = mine["idempotency_key"].tolist(), mine["_account"].tolist()
+        reused, seen = np.zeros(len(frame), bool), np.zeros(len(frame), bool)
+        reused[usable] = [owner[n] != a for n, a in zip(names, accounts)]
+        seen[usable] = [n in earlier for n in names]
+        frame["_reused"], frame["_seen"] = reused, seen
+        yield frame[[*_CARRIED, "_reused", "_seen"]]
 
     def close(self) -> None:
         pass
 
 
 class Balances(StatefulProcessor):
-    """Accepts or refuses the requests of an account in order."""
+    """Accepts or refuses the requests of an account in order. An account's state begins with its first posted request."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.account = handle.getValueState("account", "room bigint, lowest bigint, overdraft boolean, active boolean, last_at bigint")
         self.keys = handle.getMapState("keys", "idempotency_key string", "outcome int")
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.set_axis(_OPENING, axis=1).iloc[0]
-        self.account.update((int(row["room"]), int(row["lowest"]), bool(row["overdraft"]), bool(row["active"]), None))
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True).set_axis(_OWNED, axis=1).sort_values(["txn_datetime", "request_id"], kind="stable", ignore_index=True)
+        frame = pd.concat(list(rows), ignore_index=True).set_axis(_OWNED, axis=1).sort_values(
+            ["txn_datetime", "_no_id", "request_id"], kind="stable", ignore_index=True)
         outcome, reason = np.full(len(frame), None, object), np.full(len(frame), None, object)
         balance = np.full(len(frame), None, object)
-        good, at = frame["_cents"].fillna(0).to_numpy() > 0, frame["txn_datetime"].to_numpy().astype("datetime64[us]").astype(np.int64)
+        good, at = frame["_cents"].to_numpy() > 0, frame["txn_datetime"].to_numpy().astype("datetime64[us]").astype(np.int64)
 
         def settle(where, what, why):
             outcome[where], reason[where] = what, why
 
         free = np.ones(len(frame), bool)
-        state = self.account.get() if self.account.exists() else None
+        state, opening = None, frame.iloc[0]
+        if opening["_active"] is not None and not pd.isna(opening["_active"]):
+            state = self.account.get() or (int(opening["_room"]), int(opening["_lowest"]), bool(opening["_overdraft"]), bool(opening["_active"]), None)
         for mask, what, why in (
             (~good, "quarantined", "INVALID_AMOUNT"), (~frame["_sound"].to_numpy(bool), "quarantined", "INVALID_VALUE"),
             (np.full(len(frame), state is None), "rejected", "FK_NOT_FOUND"),
@@ -95,7 +113,9 @@ class Balances(StatefulProcessor):
         if state is not None and state[3]:
             room, lowest, overdraft, active, last_at = state
             named = frame["idempotency_key"].where(frame["idempotency_key"].notna(), None).to_numpy(object)
-            before = {k: self.keys.getValue((k,))[0] for k in dict.fromkeys(named[free]) if k is not None and self.keys.containsKey((k,))}
+            # Only keys that an earlier batch has used can have an outcome.
+            asked = dict.fromkeys(named[free & frame["_seen"].to_numpy(bool)])
+            before = {k: found[0] for k in asked if (found := self.keys.getValue((k,))) is not None}
             replayed = free & np.array([before.get(k) == ACCEPTED for k in named], bool)
             settle(replayed, "replayed", None)
             late = free & ~replayed & (at < last_at if last_at is not None else np.zeros(len(frame), bool))
@@ -105,7 +125,7 @@ class Balances(StatefulProcessor):
                 room, last_at = self._walk(frame, rows, named, room, lowest, overdraft, last_at, at, outcome, reason, balance)
                 self.account.update((room, lowest, overdraft, active, last_at))
         frame["outcome"], frame["reason_code"], frame["_balance"] = outcome, reason, pd.array(balance, "Int64")
-        yield frame[[*_NAMES, "outcome", "reason_code", "_balance"]]
+        yield frame[[*_CARRIED[:-2], "outcome", "reason_code", "_balance"]]
 
     def _walk(self, frame, rows, named, room, lowest, overdraft, last_at, at, outcome, reason, balance):
         debit = frame["dr_cr"].to_numpy(object)[rows] == "debit"
@@ -157,20 +177,38 @@ class StatefulDepositStream:
         self.spark, self.root, self.max_files = spark, root, max_files
         self.accounts = opening_state(accounts)
 
+    def opening(self) -> DataFrame:
+        """The balances before the first request, written when the stream begins."""
+        lake = Lake(self.spark, self.root)
+        if not lake.exists("opening"):
+            lake.overwrite("opening", self.accounts)
+        return lake.read("opening")
+
     def results(self, requests: DataFrame) -> DataFrame:
-        active = self.accounts.where("active").select("account_id").withColumn("_open", F.lit(True))
+        accounts = self.opening()
+        active = accounts.where("active").select("account_id").withColumn("_open", F.lit(True))
         sound = posting.well_formed(requests, posting.DEPOSIT)
         alone = F.concat_ws("|", F.lit("\u0000"), F.col("txn_datetime").cast("string"), F.col("request_id").cast("string"))
-        checked = requests.withColumns({"_sound": sound, "_cents": cents(F.col("amount")), "_key": F.coalesce("idempotency_key", alone)}).join(
+        group = F.pmod(F.xxhash64(F.coalesce("idempotency_key", alone)), F.lit(KEY_GROUPS)).cast("int")
+        checked = requests.withColumns({"_sound": sound, "_cents": F.coalesce(cents(F.col("amount")), F.lit(0)).cast("bigint"), "_group": group}).join(
             active, "account_id", "left")
-        checked = checked.withColumn("_usable", F.coalesce(F.col("_open") & F.col("_sound") & (F.col("_cents") > 0), F.lit(False))).drop("_open")
-        kept = REQUESTS + ", _cents bigint, _sound boolean, _reused boolean"
-        owned = checked.select(*_CHECKED).groupBy("_key").transformWithStateInPandas(KeyOwners(), kept, "append", "none")
-        # Requests without an account have no state to wait for.
-        placed = owned.withColumn("_account", F.coalesce("account_id", F.lit(-1 << 63))).select(*_OWNED)
+        checked = checked.withColumns({
+            "_usable": F.coalesce(F.col("_open") & F.col("_sound") & (F.col("_cents") > 0), F.lit(False)),
+            "_no_id": F.col("request_id").isNull(), "request_id": F.coalesce("request_id", F.lit(0).cast("bigint")),
+            # Requests without an account have no state to wait for.
+            "_account": F.coalesce("account_id", F.lit(_NOBODY)),
+        })
+        owned = checked.select(*_CHECKED).groupBy("_group").transformWithStateInPandas(
+            KeyOwners(), _CARRIED_TYPES + ", _cents bigint, _sound boolean, _reused boolean, _seen boolean", "append", "none")
+        terms = accounts.groupBy(F.col("account_id").alias("_account")).agg(F.max(F.struct(
+            F.col("room").alias("_room"), F.col("lowest").alias("_lowest"), F.col("overdraft").alias("_overdraft"), F.col("active").alias("_active"),
+        )).alias("_terms")).select("_account", "_terms.*")
+        placed = owned.join(terms, "_account", "left").select(*_OWNED)
         posted = placed.groupBy("_account").transformWithStateInPandas(
-            Balances(), REQUESTS + ", outcome string, reason_code string, _balance bigint", "append", "none",
-            initialState=self.accounts.withColumn("_account", F.col("account_id")).select(*_OPENING).groupBy("_account"))
+            Balances(), _CARRIED_TYPES + ", outcome string, reason_code string, _balance bigint", "append", "none")
+        posted = posted.select(
+            F.when(~F.col("_no_id"), F.col("request_id")).alias("request_id"), F.when(F.col("_account") != _NOBODY, F.col("_account")).alias("account_id"),
+            *_NAMES[2:], "outcome", "reason_code", "_balance")
         own = F.concat_ws("|", F.col("txn_datetime").cast("string"), F.col("request_id").cast("string"))
         identity = [F.lit(posting.DEPOSIT.fact), F.col("account_id"), F.coalesce(F.col("idempotency_key"), own)]
         return posted.withColumns({
