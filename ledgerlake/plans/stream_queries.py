@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import durable, new_folder
 from ..sources import feed
 from ..sources.tables import Lake
 from ..operators import late
@@ -99,6 +99,7 @@ def _late_requests(bank):
     behind = F.col("request_id") % 7 == 0
     stream = landed_in_parts(bank, "late-stream", [*_thirds(requests.where(~behind)), requests.where(behind)])
     posted = stream.posted().where("outcome <> 'late'")
-    redone = late.resettle(posted, stream.late(), deposit_accounts(bank))
+    # It stands in the result and says which rows leave it, so it is settled once.
+    redone = durable(late.resettle(posted, stream.late(), deposit_accounts(bank)))
     done = late.replaced(posted, redone)
     return done.select("request_id", "account_id", behind.alias("back_dated"), "outcome", "reason_code", dbl("running_balance"))
