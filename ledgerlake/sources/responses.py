@@ -22,9 +22,12 @@ _FIELDS = ["raw_id", "scheme_code", "fetched_at"]
 
 def classified(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Scheme responses with ``body`` (variant), ``outcome``, ``meta`` and ``entries`` (array of variants)."""
-    rows = bronze.where("endpoint = 'mf_scheme'").select(*_FIELDS, *keep, "payload", F.try_parse_json("payload").alias("body"))
-    data = F.try_variant_get("body", "$.data", "variant")
-    entries = F.try_variant_get("body", "$.data", "array<variant>")
+    # What ``inline`` gives is worked out once a row: a filter on the outcome would else be moved below and parse anew.
+    rows = bronze.where("endpoint = 'mf_scheme'").select(
+        *_FIELDS, *keep, "payload", F.inline(F.array(F.struct(F.try_parse_json("payload").alias("body")))))
+    rows = rows.select("*", F.inline(F.array(F.struct(
+        F.try_variant_get("body", "$.data", "variant").alias("data"), F.try_variant_get("body", "$.data", "array<variant>").alias("entries")))))
+    data, entries = F.col("data"), F.col("entries")
     is_object = F.schema_of_variant("body").startswith("OBJECT")
     outcome = (
         F.when(F.col("body").isNull() | ~F.coalesce(is_object, F.lit(False)), "malformed")
