@@ -45,7 +45,8 @@ def schemes(bank: Bank) -> DataFrame:
 def payloads(bank: Bank, raw: DataFrame | None = None) -> DataFrame:
     """One feed response per scheme and order: an order has a handful of lines, so the lists stay short."""
     raw = bank.fx_raw_nav if raw is None else raw
-    entries = raw.groupBy("scheme_code", "l_orderkey").agg(
+    # Dealt by order alone, lines lie as the grouping and the join with their order both need them.
+    entries = raw.repartition("l_orderkey").groupBy("scheme_code", "l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "date", "nav"))).alias("_lines")
     )
     body = F.to_json(F.struct(

@@ -26,7 +26,7 @@ def _silver_nav(bank):
     for part in ("l_linenumber <= 3", "not coalesce(l_linenumber <= 3, false)"):
         rows = payloads(bank, bank.fx_raw_nav.where(part))
         landed = feed.raw_rows(rows.withColumnRenamed("l_orderkey", "seq"), "mf_scheme", keep=["seq"])
-        landed.write.mode("append").json(landing)
+        landed.write.mode("append").option("compression", "gzip").json(landing)
         _finish(feed_stream.silver_stream(bank.spark, landing, lake, f"{root}/checkpoint"))
     return lake.read("fact_mf_nav").select("scheme_code", "nav_date", dbl("nav_value"))
 
