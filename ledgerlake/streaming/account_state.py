@@ -159,11 +159,11 @@ class Balances(StatefulProcessor):
 
 
 def opening_state(accounts: DataFrame) -> DataFrame:
-    """Room, floor and flags of accounts, one row each, as the stream starts from them."""
+    """Room, floor and flags of accounts as the stream starts from them; without a balance there is no room, as in a batch."""
     overdraft = F.col("deposit_type") == "overdraft"
     lowest = F.when(overdraft, -F.coalesce(cents(F.col("overdraft_limit")), F.lit(0))).otherwise(cents(F.col("min_balance")))
     return accounts.where("account_id is not null").select(
-        F.col("account_id").cast("bigint").alias("account_id"), (cents(F.col("current_balance")) - lowest).alias("room"), lowest.alias("lowest"),
+        F.col("account_id").cast("bigint").alias("account_id"), F.coalesce(cents(F.col("current_balance")) - lowest, F.lit(0)).alias("room"), lowest.alias("lowest"),
         F.coalesce(overdraft, F.lit(False)).alias("overdraft"), F.coalesce(F.col("status") == "active", F.lit(False)).alias("active"))
 
 

@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 import pandas as pd
 
+from ledgerlake.operators import posting
 from ledgerlake.session import new_folder
 from ledgerlake.streaming import account_state
 from ledgerlake.streaming.account_state import StatefulDepositStream
@@ -66,12 +67,14 @@ def test_balances_ask_only_for_keys_seen_before():
 def test_long_ids_beside_null_ones(spark, monkeypatch):
     monkeypatch.setattr(account_state, "KEY_GROUPS", 1)
     root = new_folder(spark, "test-groups")
-    accounts = spark.createDataFrame([(LONG, "savings", D(100), D(0), None, "active"), (5, "savings", D(1), D(0), None, "active")], ACCOUNTS)
+    accounts = spark.createDataFrame([(LONG, "savings", D(100), D(0), None, "active"), (5, "savings", D(1), D(0), None, "active"), (6, "savings", None, D(0), None, "active")], ACCOUNTS)
     rows = [(LONG, LONG, T0, D(60), "debit", "upi", "k1"), (None, LONG, T0 + dt.timedelta(1), D(50), "debit", "upi", "k2"), (3, None, T0, D(1), "credit", "upi", "k3"),
-            (LONG + 2, LONG, T0 + dt.timedelta(2), None, "credit", "upi", "k4"), (4, 5, T0, D(1), "credit", "upi", "k5")]
+            (LONG + 2, LONG, T0 + dt.timedelta(2), None, "credit", "upi", "k4"), (4, 5, T0, D(1), "credit", "upi", "k5"), (6, 6, T0, D(1), "credit", "upi", "k6")]
     spark.createDataFrame(rows, REQUESTS).coalesce(1).write.parquet(f"{root}/landing")
     StatefulDepositStream(spark, root, accounts).run(f"{root}/landing").awaitTermination()
     found = {(r.request_id, r.account_id): (r.outcome, r.reason_code, r.running_balance) for r in StatefulDepositStream(spark, root, accounts).posted().collect()}
     assert found == {
         (LONG, LONG): ("accepted", None, D("40.00")), (None, LONG): ("rejected", "INSUFFICIENT_BALANCE", None), (3, None): ("rejected", "FK_NOT_FOUND", None),
-        (LONG + 2, LONG): ("quarantined", "INVALID_AMOUNT", None), (4, 5): ("accepted", None, D("2.00"))}
+        (LONG + 2, LONG): ("quarantined", "INVALID_AMOUNT", None), (4, 5): ("accepted", None, D("2.00")), (6, 6): ("accepted", None, D("1.00"))}
+    batch = posting.post_deposit_txn(spark.createDataFrame(rows, REQUESTS), accounts).collect()
+    assert found == {(r.request_id, r.account_id): (r.outcome, r.reason_code, r.running_balance) for r in batch}
