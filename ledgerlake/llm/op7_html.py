@@ -13,9 +13,10 @@ tokens. Where no article is left, elements with role tokens that hold one are op
 
 Trees hold tags and 32-bit text marks only, so the rows that meet by host are narrow; the html itself is joined with
 its host's template once, and a host with very many pages is the skewed side of that join. The template of a host is
-bounded by the nodes of one page. Nothing recurses, so nesting is bounded by memory alone. Equal beginnings and ends of
-two child lists pair at once; of what lies between, more than ``CELLS`` pairs of children are aligned in order of their
-tags instead of by the best sum.
+bounded by the nodes of one page. Nothing recurses into a tree, so nesting is bounded by memory alone. Equal beginnings
+and ends of two child lists pair at once. What lies between is aligned by the best sum, however long the lists are: above
+``CELLS`` pairs of children the same sums are made of one child and all children of the other page at a time, and rows of
+the table are made again instead of kept, so that time grows with the product of both lists but memory with their length.
 
 Defined cases: a null or empty html gives an empty text; a null url has the empty host; hosts with fewer than ``PAGES``
 different pages have no template; where the template would take all, or more than half of an article, the page is a
@@ -31,6 +32,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +41,10 @@ from ledgerlake.llm.common import read, written
 from ledgerlake.llm.op3_url_filter import host_of
 
 PAGES, SHARE = 5, 0.9
-#: Pairs of children that are weighed against each other for one pair of elements.
+#: Pairs of children that are weighed one by one; more are weighed in rows, with the same result.
 CELLS = 40_000
+#: Numbers kept at once of a table that is made in rows.
+KEPT = 4_000_000
 
 # Element names and the words by which pages name roles.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -220,7 +224,7 @@ class _Tree:
     """A tree's nodes in order, with children, sizes and a number that equal subtrees (texts included) share."""
 
     def __init__(self, flat: dict, same: dict):
-        self.kinds, self.marks = flat["k"], flat["m"]
+        self.kinds, self.marks, self.parents = flat["k"], flat["m"], flat["p"]
         n = len(self.kinds)
         self.children: list[list[int]] = [[] for _ in range(n)]
         for node, parent in enumerate(flat["p"]):
@@ -232,6 +236,21 @@ class _Tree:
             self.sizes[node] += sum(self.sizes[c] for c in inner)
             key = (self.kinds[node], self.marks[node], tuple(self.equal[c] for c in inner))
             self.equal[node] = same.setdefault(key, len(same))
+        self.depth = [0] * n
+        for node in range(1, n):
+            self.depth[node] = self.depth[self.parents[node]] + 1
+        self.told: list[int] = []
+        self.alike: list[int] = []
+
+    def compare(self, other: "_Tree", other_text: int) -> None:
+        """Marks and numbers of subtrees where texts that the other tree doesn't hold are all one text."""
+        if not self.told:
+            shared, numbers = set(other.marks), {}
+            self.told = [m if m in shared else other_text for m in self.marks]
+            self.alike = [0] * len(self.kinds)
+            for node in range(len(self.kinds) - 1, -1, -1):
+                key = (self.kinds[node], self.told[node], tuple(self.alike[c] for c in self.children[node]))
+                self.alike[node] = numbers.setdefault(key, len(numbers))
 
 
 def _flat(node: list) -> dict:
@@ -246,10 +265,6 @@ def _flat(node: list) -> dict:
     return {"k": kinds, "m": marks, "p": parents}
 
 
-#: Paired nodes count before equal texts.
-_NODE = 1 << 24
-
-
 def _middle(a: _Tree, b: _Tree, x: int, y: int) -> tuple[list[tuple[int, int]], list[int], list[int]]:
     """Equal children at both ends, and the children between them."""
     first, second, ends = a.children[x], b.children[y], []
@@ -264,18 +279,121 @@ def _middle(a: _Tree, b: _Tree, x: int, y: int) -> tuple[list[tuple[int, int]],
     return ends, first[low:i], second[low:j]
 
 
-def _in_order(a: _Tree, b: _Tree, first: list[int], second: list[int]) -> list[tuple[int, int]]:
-    """Children of one tag each, taken from both lists as they come."""
-    out, i, j = [], 0, 0
-    while i < len(first) and j < len(second):
-        if a.kinds[first[i]] == b.kinds[second[j]]:
-            out.append((first[i], second[j]))
-            i, j = i + 1, j + 1
-        elif len(first) - i >= len(second) - j:
-            i += 1
-        else:
-            j += 1
-    return out
+class _Level:
+    """Different subtrees at one depth below a list of children: tags, texts and where the children of each lie."""
+
+    def __init__(self, kinds: list[int], marks: list[int], inner: list[list[int]], most: int):
+        self.kinds, self.marks = np.array(kinds, np.int64), np.array(marks, np.int64)
+        counts = np.array([len(i) for i in inner], np.int64)
+        # One place for every child and one behind the last, whose sum is 0.
+        ends = np.cumsum(counts + 1)
+        self.starts, self.places = ends - counts - 1, int(ends[-1])
+        self.real = np.setdiff1d(np.arange(self.places), ends - 1)
+        self.child = np.array([c for i in inner for c in i], np.int64)
+        # Sums are told apart by subtree while their running maximum goes from the last place to the first.
+        self.apart = np.repeat(np.arange(len(counts) - 1, -1, -1, dtype=np.int64) * most, counts + 1)
+
+    def step(self, sums: np.ndarray | None, gains: np.ndarray) -> np.ndarray:
+        """Best sums of the children from each place on, with one more child of the other tree before those summed."""
+        if sums is None:
+            sums = np.zeros(self.places, np.int64)
+        new = sums + self.apart
+        new[self.real] = np.maximum(new[self.real], new[self.real + 1] + gains[self.child])
+        return np.maximum.accumulate(new[::-1])[::-1] - self.apart
+
+
+class _Rows:
+    """The table of best sums of two long child lists, made row by row."""
+
+    def __init__(self, a: _Tree, b: _Tree, first: list[int], second: list[int], unit: int):
+        self.a, self.first, self.unit = a, first, unit
+        most = (max(a.sizes[p] for p in first) + 1) * (unit + 1)
+        codes: dict[str, int] = {}
+        self.kinds = [codes.setdefault(k, len(codes)) for k in a.kinds]
+        self.levels: list[_Level] = []
+        deepest = max(a.depth[n] - a.depth[p] for p in first for n in range(p, p + a.sizes[p]))
+        number = {c: i for i, c in enumerate(dict.fromkeys(b.alike[q] for q in second))}
+        self.column = np.array([number[b.alike[q]] for q in second])
+        nodes = {b.alike[q]: q for q in second}
+        while number and len(self.levels) <= deepest:
+            here = [nodes[c] for c in number]
+            below = {b.alike[c]: c for n in here for c in b.children[n]} if len(self.levels) < deepest else {}
+            inside = {c: i for i, c in enumerate(below)}
+            inner = [[inside[b.alike[c]] for c in b.children[n]] if inside else [] for n in here]
+            self.levels.append(_Level([codes.get(b.kinds[n], -1) for n in here], [b.told[n] for n in here], inner, most))
+            number, nodes = inside, below
+        self.known: dict[tuple[int, int], np.ndarray] = {}
+        self.room = KEPT
+
+    def _remember(self, key: tuple[int, int], gains: np.ndarray) -> None:
+        if self.room >= len(gains):
+            self.room -= len(gains)
+            self.known[key] = gains
+
+    def weigh(self, p: int) -> np.ndarray:
+        """What pairing ``p`` with each different subtree of the other list is worth."""
+        a, sums = self.a, {}
+        gains = self.known.get((0, a.alike[p]))
+        if gains is not None:
+            return gains
+        for node in range(p + a.sizes[p] - 1, p - 1, -1):
+            depth = a.depth[node] - a.depth[p]
+            if depth >= len(self.levels):
+                continue
+            level, inner = self.levels[depth], sums.pop(node, None)
+            key = (depth, a.alike[node])
+            gains = self.known.get(key)
+            if gains is None:
+                gains = self.unit + (level.marks == a.told[node])
+                if inner is not None:
+                    gains = gains + inner[level.starts]
+                gains = np.where(level.kinds == self.kinds[node], gains, 0)
+                if node == p or not a.children[node]:
+                    self._remember(key, gains)
+            if node != p:
+                parent = a.parents[node]
+                sums[parent] = self.levels[depth - 1].step(sums.get(parent), gains)
+        return gains
+
+    def _table(self, low: int, high: int, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows low to high - 1 of the table, with their gains, from the row behind them; few are kept at once."""
+        step = -(-(high - low) // max(2, KEPT // len(last)))
+        kept, row = [], last
+        for i in range(high - 1, low - 1, -1):
+            gains = self.weigh(self.first[i])[self.column]
+            new = np.zeros_like(row)
+            new[:-1] = np.maximum.accumulate(np.maximum(row[:-1], row[1:] + gains)[::-1])[::-1]
+            row = new
+            if (i - low) % step == 0:
+                kept.append((row, gains) if step == 1 else row)
+        if step == 1:
+            while kept:
+                yield kept.pop()
+            return
+        kept.pop()
+        for start in range(low, high, step):
+            yield from self._table(start, min(start + step, high), kept[-1] if kept else last)
+            if kept:
+                kept.pop()
+
+    def best(self) -> tuple[int, list[tuple[int, int]]]:
+        """The best sum, and the places in both lists that pair for it."""
+        many = len(self.column)
+        rows = self._table(0, len(self.first), np.zeros(many + 1, np.int64))
+        row, gains = next(rows)
+        total, out, j = int(row[0]), [], 0
+        for i in range(len(self.first)):
+            below, following = next(rows, (np.zeros(many + 1, np.int64), None))
+            while j < many:
+                if gains[j] and row[j] == below[j + 1] + gains[j]:
+                    out.append((i, j))
+                    j += 1
+                    break
+                if row[j] == below[j]:
+                    break
+                j += 1
+            row, gains = below, following
+        return total, out
 
 
 def match(one: dict | list, two: dict | list) -> list[tuple[int, int]]:
@@ -287,34 +405,19 @@ def match(one: dict | list, two: dict | list) -> list[tuple[int, int]]:
     a, b = (_Tree(t if isinstance(t, dict) else _flat(t), same) for t in (one, two))
     if a.kinds[0] != b.kinds[0]:
         return []
+    # Paired nodes count before equal texts.
+    unit = min(len(a.kinds), len(b.kinds)) + 1
     worth: dict[tuple[int, int], int] = {}
     plans: dict[tuple[int, int], tuple] = {}
-    order, todo = [], [(0, 0)]
-    while todo:
-        x, y = todo.pop()
-        if (x, y) in plans or (x, y) in worth:
-            continue
-        if a.equal[x] == b.equal[y]:
-            worth[x, y] = a.sizes[x] * (_NODE + 1)
-            continue
-        ends, first, second = _middle(a, b, x, y)
-        if len(first) * len(second) > CELLS:
-            ends, first, second = ends + _in_order(a, b, first, second), [], []
-        plans[x, y] = ends, first, second
-        order.append((x, y))
-        # Where one of two has no children there is nothing to weigh.
-        todo += [(p, q) for p, q in ends if a.equal[p] != b.equal[q] and a.children[p] and b.children[q]]
-        inner = [q for q in second if b.children[q]]
-        todo += [(p, q) for p in first if a.children[p] for q in inner if a.kinds[p] == b.kinds[q]]
 
     def gain(p: int, q: int) -> int:
         if a.equal[p] == b.equal[q]:
-            return a.sizes[p] * (_NODE + 1)
+            return a.sizes[p] * (unit + 1)
         if a.kinds[p] != b.kinds[q]:
             return 0
         if a.children[p] and b.children[q]:
             return worth[p, q]
-        return _NODE + (a.marks[p] == b.marks[q])
+        return unit + (a.marks[p] == b.marks[q])
 
     def table(first: list[int], second: list[int]) -> list[list[int]]:
         most = [[0] * (len(second) + 1) for _ in range(len(first) + 1)]
@@ -325,15 +428,35 @@ def match(one: dict | list, two: dict | list) -> list[tuple[int, int]]:
                 row[j] = max(below[j], row[j + 1], below[j + 1] + got if got else 0)
         return most
 
-    # Inner pairs lie deeper, so they are weighed before the pairs around them.
-    depth: dict[int, int] = {0: 0}
-    for node, inner in enumerate(a.children):
-        for c in inner:
-            depth[c] = depth[node] + 1
-    for x, y in sorted(order, key=lambda pair: -depth[pair[0]]):
-        ends, first, second = plans[x, y]
-        inner = table(first, second)[0][0] if first and second else 0
-        worth[x, y] = _NODE + (a.marks[x] == b.marks[y]) + sum(gain(p, q) for p, q in ends) + inner
+    def settle(pair: tuple[int, int]) -> None:
+        """Plans and worth of a pair and of all pairs that are weighed one by one for it."""
+        order, todo = [], [pair]
+        while todo:
+            x, y = todo.pop()
+            if (x, y) in plans or (x, y) in worth:
+                continue
+            if a.equal[x] == b.equal[y]:
+                worth[x, y] = a.sizes[x] * (unit + 1)
+                continue
+            ends, first, second = plans[x, y] = _middle(a, b, x, y)
+            order.append((x, y))
+            if len(first) * len(second) <= CELLS:
+                # Where one of two has no children there is nothing to weigh.
+                inner = [q for q in second if b.children[q]]
+                todo += [(p, q) for p in first if a.children[p] for q in inner if a.kinds[p] == b.kinds[q]]
+        # Inner pairs lie deeper, so they are weighed before the pairs around them.
+        for x, y in sorted(order, key=lambda pair: -a.depth[pair[0]]):
+            ends, first, second = plans[x, y]
+            inner = 0
+            if len(first) * len(second) > CELLS:
+                a.compare(b, -1)
+                b.compare(a, -2)
+                inner, chosen = _Rows(a, b, first, second, unit).best()
+                plans[x, y] = ends + [(first[i], second[j]) for i, j in chosen], [], []
+            elif first and second:
+                inner = table(first, second)[0][0]
+            worth[x, y] = unit + (a.marks[x] == b.marks[y]) + sum(a.sizes[p] * (unit + 1) for p, _ in ends) + inner
+
     out, todo = [], [(0, 0)]
     while todo:
         x, y = todo.pop()
@@ -341,8 +464,9 @@ def match(one: dict | list, two: dict | list) -> list[tuple[int, int]]:
             out += zip(range(x, x + a.sizes[x]), range(y, y + b.sizes[y]))
             continue
         out.append((x, y))
-        if (x, y) not in plans:
+        if not (a.children[x] and b.children[y]):
             continue
+        settle((x, y))
         ends, first, second = plans[x, y]
         todo += ends
         if first and second:

@@ -283,6 +283,45 @@ def test_deep_and_wide_pages():
     assert op7_html.main_text("word " * 500_000, None, set()).count("word") == 500_000
 
 
+def best_match(a, b):
+    """(nodes, equal texts) of the best match of two nested trees, by the recursion itself."""
+    if a[0] != b[0]:
+        return (0, 0)
+    best = [[(0, 0)] * (len(b[2]) + 1) for _ in range(len(a[2]) + 1)]
+    for i in reversed(range(len(a[2]))):
+        for j in reversed(range(len(b[2]))):
+            got = best_match(a[2][i], b[2][j])
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], (best[i + 1][j + 1][0] + got[0], best[i + 1][j + 1][1] + got[1]))
+    return (1 + best[0][0][0], (a[1] == b[1]) + best[0][0][1])
+
+
+def test_matching_does_not_depend_on_size(monkeypatch):
+    """Long lists of children are matched as short ones are: the best sum, and the same pairs."""
+    noise = random.Random(11)
+    def grow(depth):
+        return [noise.choice("aab"), noise.choice([0, 1, 2, noise.randint(3, 40)]), [grow(depth - 1) for _ in range(noise.randint(0, 4))] if depth else []]
+    for _ in range(40):
+        a, b = (["r", 0, [grow(noise.randint(0, 3)) for _ in range(noise.randint(1, 9))]] for _ in "ab")
+        got = []
+        for cells, kept in ((10 ** 9, 10 ** 9), (0, 10 ** 9), (0, 10), (12, 40)):
+            monkeypatch.setattr(op7_html, "CELLS", cells)
+            monkeypatch.setattr(op7_html, "KEPT", kept)
+            got.append(op7_html.match(a, b))
+        assert got.count(got[0]) == 4
+        marks = [op7_html._flat(t)["m"] for t in (a, b)]
+        assert (len(got[0]), sum(marks[0][x] == marks[1][y] for x, y in got[0])) == best_match(a, b)
+
+
+def test_long_lists_are_matched_best():
+    """The second list starts with rows that the first lacks, so rows taken as they come share no text."""
+    first, second = (["r", 0, [["tr", 0, [["td", n, []], ["td", -n, []]]] for n in numbers]] for numbers in ([*range(101, 401), 5000], [*range(1, 401), 6000]))
+    got = op7_html.match(first, second)
+    marks = [op7_html._flat(t)["m"] for t in (first, second)]
+    assert (len(got), sum(marks[0][x] == marks[1][y] for x, y in got)) == best_match(first, second) == (1 + 3 * 301, 1 + 301 + 600)
+    mixed = [["r", 0, [[kind, n, []] for n, kind in enumerate(kinds, 1)]] for kinds in ("p" * 250 + "hp" * 150, "hp" * 150 + "q" * 300)]
+    assert len(op7_html.match(*mixed)) == best_match(*mixed)[0] == 301
+
+
 def test_unnamed_boilerplate_goes(spark):
     """Given pages with lines added that stand on every page and name no role: the wrapper takes those and nothing else."""
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet").withColumn("url", F.concat(F.lit("http://one.org/"), "page_id"))
