@@ -37,31 +37,33 @@ def control_totals(
     """
     keys, order = list(keys), list(order)
     asked = requests.agg(F.count(F.lit(1)).alias("n_requests"), _sum(checksum(*identity), "asked"))
+    done = F.col("outcome").isin("accepted", "rejected", "replayed", "quarantined")
     is_fact = F.col("outcome") == "accepted"
-    became = posted.agg(
-        *[F.count_if(F.col("outcome") == o).alias(f"n_{o}") for o in ("accepted", "rejected", "replayed", "quarantined")],
-        *[_sum(F.when(F.col("outcome") == o, checksum(*identity)), f"sum_{o}") for o in ("accepted", "rejected", "replayed", "quarantined")])
-    per_key = posted.where(is_fact).groupBy(*keys).agg(
-        F.sum(moved.cast("long")).alias("_moved"), F.max(F.struct(*order, stored.cast("long").alias("_v")))["_v"].alias("_last"))
-    # Every key of either side once: opening value, movement, last value.
-    both = opening.select(*keys, F.col("value").cast("long").alias("_open"), F.lit(None).cast("long").alias("_moved"), F.lit(None).cast("long").alias("_last"))
-    both = both.unionByName(per_key.withColumn("_open", F.lit(None).cast("long")))
-    tied = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("_open", "_moved", "_last")]).select(
-        F.coalesce("_open", F.lit(0)).alias("_open"), F.coalesce("_moved", F.lit(0)).alias("_moved"), "_last")
+    # The posted rows are made and read once: every key of either side has its opening value, its counts and its movement in one group.
+    facts = posted.select(
+        *keys, F.lit(None).cast("long").alias("_open"), F.when(done, F.col("outcome")).alias("_outcome"), F.when(done, checksum(*identity)).alias("_check"),
+        F.when(is_fact, moved.cast("long")).alias("_moved"), F.when(is_fact, F.struct(*order, stored.cast("long").alias("_v"))).alias("_at"))
+    opened = opening.select(*keys, F.col("value").cast("long").alias("_open"))
+    tied = facts.unionByName(opened, allowMissingColumns=True).groupBy(*keys).agg(
+        F.max("_open").alias("_open"), F.count("_outcome").alias("n_settled"), F.sum("_check").alias("settled"),
+        *[F.count_if(F.col("_outcome") == o).alias(f"n_{o}") for o in ("accepted", "rejected")],
+        F.sum(F.when(F.col("_outcome") == "accepted", F.col("_check"))).alias("sum_accepted"),
+        F.sum("_moved").alias("_moved"), F.max("_at")["_v"].alias("_last"),
+    ).withColumns({"_open": F.coalesce("_open", F.lit(0)), "_moved": F.coalesce("_moved", F.lit(0))})
     closing = F.coalesce(F.col("_last"), F.col("_open"))
-    balances = tied.agg(
+    became = tied.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_settled", "n_accepted", "n_rejected")],
+        _sum(F.col("settled"), "settled"), _sum(F.col("sum_accepted"), "sum_accepted"),
         _sum(F.col("_open").cast(WIDE), "opening_total"), _sum(F.col("_moved").cast(WIDE), "net_accepted"), _sum(closing.cast(WIDE), "closing_total"),
         F.count_if(F.col("_open") + F.col("_moved") != closing).alias("n_keys_off"))
-    settled = F.col("sum_accepted") + F.col("sum_rejected") + F.col("sum_replayed") + F.col("sum_quarantined")
-    n_settled = F.col("n_accepted") + F.col("n_rejected") + F.col("n_replayed") + F.col("n_quarantined")
-    # Three frames of one row each, laid over each other.
-    stacked = asked.unionByName(became, allowMissingColumns=True).unionByName(balances, allowMissingColumns=True)
+    # Two frames of one row each, laid over each other.
+    stacked = asked.unionByName(became, allowMissingColumns=True)
     joined = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     return joined.select(
         F.lit(ledger).alias("ledger"), "n_requests", "n_accepted", "n_rejected", F.col("asked").cast("string").alias("checksum_requests"),
         F.col("sum_accepted").cast("string").alias("checksum_accepted"),
         *[F.col(c).cast("string").alias(c) for c in ("opening_total", "net_accepted", "closing_total")], "n_keys_off",
-        ((F.col("asked") == settled) & (F.col("n_requests") == n_settled)).alias("requests_tie"),
+        ((F.col("asked") == F.col("settled")) & (F.col("n_requests") == F.col("n_settled"))).alias("requests_tie"),
         ((F.col("opening_total") + F.col("net_accepted") == F.col("closing_total")) & (F.col("n_keys_off") == 0)).alias("balances_tie"))
 
 

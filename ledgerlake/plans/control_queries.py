@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.money import cents, unit_ticks
 from ..operators import changes, posting
 from ..operators.reconcile import control_totals
-from ..session import durable, new_folder
+from ..session import durable, new_folder, swept
 from ..sources.tables import Lake
 from .feed_queries import SILVER_SQL, first_load, second_load
 from .posting_queries import (
     CARD_SQL, CARD_VIEWS, DEPOSIT_SQL, DEPOSIT_VIEWS, FUND_ORDER, FUND_SQL, FUND_VIEWS, LOAN_ORDER, LOAN_SQL, LOAN_VIEWS, PAYMENT_SQL,
-    PAYMENT_VIEWS, cards, deposit_accounts, loans, posted_cards, posted_deposits, posted_funds, posted_loans, posted_payments,
+    PAYMENT_VIEWS, cards, deposit_accounts, fund_requests, loans, posted_cards, posted_deposits, posted_funds, posted_loans, posted_payments,
 )
 from .registry import Bank, dbl, query, sql_over
 
@@ -42,12 +42,14 @@ def ledger_totals(bank: Bank) -> DataFrame:
         ("loan", bank.fx_loan_request, posted_loans(bank), ["loan_id", *LOAN_ORDER[1:]], amount,
          loans(bank).select("loan_id", cents(col("outstanding_principal")).alias("value")), ["loan_id"], LOAN_ORDER,
          -cents(col("principal_paid")), cents(col("outstanding_after"))),
-        ("fund", bank.fx_mf_request, posted_funds(bank), ["folio_id", "scheme_code", *FUND_ORDER[1:]], amount,
-         bank.fx_mf_request.select("folio_id", "scheme_code").distinct().withColumn("value", F.lit(0)), ["folio_id", "scheme_code"], FUND_ORDER,
+        ("fund", fund_requests(bank), posted_funds(bank), ["folio_id", "scheme_code", *FUND_ORDER[1:]], amount,
+         fund_requests(bank).select("folio_id", "scheme_code").distinct().withColumn("value", F.lit(0)), ["folio_id", "scheme_code"], FUND_ORDER,
          F.when(sell, -unit_ticks(col("units"))).otherwise(unit_ticks(col("units"))), unit_ticks(col("units_held"))),
     ]
-    rows = [control_totals(name, asked, durable(posted), [*[col(c) for c in identity], worth], opening, keys, order, moved, stored)
+    # One row each: ledgers are posted one after the other, and none leaves anything else behind.
+    rows = [durable(control_totals(name, asked, posted, [*[col(c) for c in identity], worth], opening, keys, order, moved, stored))
             for name, asked, posted, identity, worth, opening, keys, order, moved, stored in parts]
+    bank.done("fund requests", "prices")
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
@@ -97,7 +99,8 @@ FROM (SELECT {outcome} AS k, {_check(*identity)} AS c FROM {out}),
                                          ",".join([DEPOSIT_SQL, CARD_SQL, PAYMENT_SQL, LOAN_SQL, FUND_SQL]) + _totals_sql()))
 def _reconciliation(bank):
     """Requests, facts, rejections and balances of all five ledgers."""
-    return ledger_totals(bank)
+    with swept(bank.spark):
+        return ledger_totals(bank)
 
 
 # --- change data capture --------------------------------------------------------------------------

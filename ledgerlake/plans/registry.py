@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import emptied, new_folder, swept
 from . import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,7 @@ class Bank:
         self.spark = spark
         self.folder = folder
         self._views: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -36,10 +37,23 @@ class Bank:
         """
         if f"once {name}" not in self._views:
             rows, path = build(), new_folder(self.spark, f"once-{name.replace(' ', '-')}")
-            rows.write.parquet(path)
+            with swept(self.spark):
+                rows.write.option("compression", "zstd").parquet(path)
             self._views[f"once {name}"] = self.spark.read.schema(rows.schema).parquet(path)
+            self._paths[name] = path
         return self._views[f"once {name}"]
 
+    def take(self, name: str, rows: DataFrame) -> None:
+        """``rows`` of a written table stand for what :meth:`once` would make under ``name``."""
+        self._views.setdefault(f"once {name}", rows)
+
+    def done(self, *names: str) -> None:
+        """Frames of :meth:`once` that no step reads any more, nor a frame that is still to be computed: their files go."""
+        for name in names:
+            self._views.pop(f"once {name}", None)
+            if name in self._paths:
+                emptied(self.spark, self._paths.pop(name))
+
     def _build(self, name: str) -> DataFrame:
         if name not in fixtures.VIEWS:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
