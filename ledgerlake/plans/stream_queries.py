@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import durable, new_folder
+from ..session import new_folder
 from ..sources import feed
 from ..sources.tables import Lake
 from ..operators import late
@@ -100,6 +100,7 @@ def _late_requests(bank):
     stream = landed_in_parts(bank, "late-stream", [*_thirds(requests.where(~behind)), requests.where(behind)])
     posted = stream.posted().where("outcome <> 'late'")
     # It stands in the result and says which rows leave it, so it is settled once.
-    redone = durable(late.resettle(posted, stream.late(), deposit_accounts(bank)))
+    redone = bank.once("settled again", lambda: late.resettle(posted, stream.late(), deposit_accounts(bank)).select(
+        "request_id", "account_id", "outcome", "reason_code", "running_balance"))
     done = late.replaced(posted, redone)
     return done.select("request_id", "account_id", behind.alias("back_dated"), "outcome", "reason_code", dbl("running_balance"))
