@@ -17,12 +17,12 @@ def kept(spark) -> int:
     return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(shared_root(spark)) for f in files)
 
 
-@pytest.mark.parametrize("name", ["rule_proof_report", "ledger_reconciliation"])
+@pytest.mark.parametrize("name", ["rule_proof_report", "ledger_reconciliation", "table_row_counts", "customer_coverage_matrix"])
 def test_ledgers_leave_nothing_behind(spark, name):
     before = kept(spark)
     rows = QUERIES[name](spark, SMALL)
     assert kept(spark) - before < 300_000
-    assert rows.count() == {"rule_proof_report": 51, "ledger_reconciliation": 5}[name]
+    assert rows.count() == {"rule_proof_report": 51, "ledger_reconciliation": 5, "table_row_counts": 17, "customer_coverage_matrix": 150}[name]
 
 
 def test_frames_of_a_query_go_when_they_are_done(spark):
